@@ -1,15 +1,17 @@
-"""Reading one field of a JSON message (a VARIANT) under the accept rules of the contracts.
+"""Reading the fields of JSON messages (VARIANT) under the accept rules of the contracts.
 
-Each reader returns ``(value, error)``: the typed value, NULL if refused, and the name of the
-broken rule, NULL if accepted. The rule names are fixed values of the contract.
+``take`` opens a message into one group of columns per field; the readers turn a group into the
+typed value (NULL if refused) and into the name of the broken rule (NULL if accepted).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.functions.times import EPOCH_NUMBER, epoch_time, iso_time
+from wayfare.functions.times import epoch_time, event_time_utc
 
 # Names of the broken rules.
 MISSING = "missing"
@@ -25,107 +27,130 @@ TIME_TYPE = "datetime_type"
 TIME_PARSING = "datetime_parsing"
 DICT_TYPE = "model_type"
 NEGATIVE = "greater_than_equal"
+VALUE = "value_error"
 
 INT_TEXT = r"^\s*[+-]?\d+(_\d+)*(\.0+)?\s*\z"
 FLOAT_TEXT = r"^\s*[+-]?(\d+(_\d+)*\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z"
-BLANKS = r"\s"
 
 
-def member(document: Column, path: str) -> Column:
-    """The field at a path as a VARIANT; NULL if the path does not exist."""
-    return F.try_variant_get(document, path, "variant")
+def take(df: DataFrame, document: str, fields: Sequence[str]) -> DataFrame:
+    """Add per field of a VARIANT column: ``_<field>``, its JSON kind and its text if it is a STRING.
+
+    Kinds are STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN, VOID, OBJECT, ARRAY; NULL if missing.
+    """
+    opened = df.withColumns(
+        {f"_{name}": F.try_variant_get(F.col(document), f"$.{name}", "variant") for name in fields}
+    )
+    kinds = {
+        f"_{name}_kind": F.regexp_extract(F.schema_of_variant(F.col(f"_{name}")), "^[A-Z]+", 0)
+        for name in fields
+    }
+    texts = {f"_{name}_text": F.when(_kind(name) == "STRING", _as(name, "string")) for name in fields}
+    return opened.withColumns(kinds).withColumns(texts)
+
+
+def settle(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row.
 
+    A filter over an ordinary projection is rewritten in terms of the projection's input, which
+    would repeat a long chain of parsing for every condition. A generator is not looked through.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
 
-def kind(field: Column) -> Column:
-    """JSON kind of a field: STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN, VOID, OBJECT or ARRAY."""
-    return F.regexp_extract(F.schema_of_variant(field), "^[A-Z]+", 0)
 
+def _kind(name: str) -> Column:
+    return F.col(f"_{name}_kind")
 
-def _text(field: Column) -> Column:
-    return F.try_variant_get(field, "$", "string")
 
+def _text(name: str) -> Column:
+    return F.col(f"_{name}_text")
 
-def _number(field: Column) -> Column:
-    return F.try_variant_get(field, "$", "double")
 
+def _as(name: str, kind: str) -> Column:
+    return F.try_variant_get(F.col(f"_{name}"), "$", kind)
 
-def is_real(field_kind: Column) -> Column:
-    return field_kind.isin("DECIMAL", "DOUBLE", "FLOAT")
 
+def _real(name: str) -> Column:
+    return _kind(name).isin("DECIMAL", "DOUBLE", "FLOAT")
 
-def read_text(field: Column) -> tuple[Column, Column]:
+
+def _number(name: str) -> Column:
+    return (_kind(name) == "BIGINT") | _real(name)
+
+
+def text_value(name: str) -> Column:
     """Text only: numbers are refused, the empty text is accepted."""
-    k = kind(field)
-    value = F.when(k == "STRING", _text(field))
-    error = F.when(field.isNull(), MISSING).when(k != "STRING", STRING_TYPE)
-    return value, error
+    return _text(name)
+
+
+def text_error(name: str) -> Column:
+    return F.when(F.col(f"_{name}").isNull(), MISSING).when(_kind(name) != "STRING", STRING_TYPE)
 
 
-def read_choice(field: Column, choices: tuple[str, ...]) -> tuple[Column, Column]:
+def choice_value(name: str, choices: Sequence[str]) -> Column:
     """One of the given texts."""
-    text = F.when(kind(field) == "STRING", _text(field))
-    value = F.when(text.isin(*choices), text)
-    error = F.when(field.isNull(), MISSING).when(value.isNull(), LITERAL)
-    return value, error
+    return F.when(_text(name).isin(*choices), _text(name))
 
 
-def read_int(field: Column) -> tuple[Column, Column]:
+def choice_error(name: str, value: Column) -> Column:
+    return F.when(F.col(f"_{name}").isNull(), MISSING).when(value.isNull(), LITERAL)
+
+
+def int_value(name: str) -> Column:
     """Integer, integral real, boolean, or text of one of the first two."""
-    k, text, number = kind(field), _text(field), _number(field)
-    written = F.regexp_replace(F.regexp_replace(text, r"[\s_]", ""), r"\.0+\z", "").try_cast("bigint")
-    value = (
-        F.when(k == "BIGINT", F.try_variant_get(field, "$", "bigint"))
-        .when(k == "BOOLEAN", F.try_variant_get(field, "$", "bigint"))
-        .when(is_real(k) & (number == F.floor(number)), F.try_variant_get(field, "$", "bigint"))
-        .when((k == "STRING") & text.rlike(INT_TEXT), written)
+    number = _as(name, "double")
+    written = F.regexp_replace(_text(name), r"[\s_]|\.0+\s*\z", "").try_cast("bigint")
+    return (
+        F.when(_kind(name).isin("BIGINT", "BOOLEAN"), _as(name, "bigint"))
+        .when(_real(name), F.when(number == F.floor(number), _as(name, "bigint")))
+        .when(_text(name).rlike(INT_TEXT), written)
     )
-    error = (
-        F.when(field.isNull(), MISSING)
-        .when(value.isNotNull(), F.lit(None).cast("string"))
-        .when(k == "STRING", INT_PARSING)
-        .when(is_real(k), INT_FROM_FLOAT)
-        .otherwise(INT_TYPE)
+
+
+def int_error(name: str, value: Column) -> Column:
+    return F.when(F.col(f"_{name}").isNull(), MISSING).when(
+        value.isNull(),
+        F.when(_kind(name) == "STRING", INT_PARSING).when(_real(name), INT_FROM_FLOAT).otherwise(INT_TYPE),
     )
-    return value, error
 
 
-def read_float(field: Column) -> tuple[Column, Column]:
+def float_value(name: str) -> Column:
     """Number, boolean, or text of a finite number."""
-    k, text = kind(field), _text(field)
-    written = F.regexp_replace(text, r"[\s_]", "").try_cast("double")
-    value = F.when(k.isin("BIGINT", "BOOLEAN") | is_real(k), _number(field)).when(
-        (k == "STRING") & text.rlike(FLOAT_TEXT), written
+    written = F.regexp_replace(_text(name), r"[\s_]", "").try_cast("double")
+    return F.when(_number(name) | (_kind(name) == "BOOLEAN"), _as(name, "double")).when(
+        _text(name).rlike(FLOAT_TEXT), written
     )
-    error = (
-        F.when(field.isNull(), MISSING)
-        .when(value.isNotNull(), F.lit(None).cast("string"))
-        .when(k == "STRING", FLOAT_PARSING)
-        .otherwise(FLOAT_TYPE)
+
+
+def float_error(name: str, value: Column) -> Column:
+    return F.when(F.col(f"_{name}").isNull(), MISSING).when(
+        value.isNull(), F.when(_kind(name) == "STRING", FLOAT_PARSING).otherwise(FLOAT_TYPE)
     )
-    return value, error
 
 
-def read_time(field: Column) -> tuple[Column, Column]:
+def time_value(name: str) -> Column:
     """ISO-8601 text, or an epoch number as number or text; UTC, whole seconds."""
-    k, text = kind(field), _text(field)
-    numeric = (k == "BIGINT") | is_real(k)
-    value = F.when(numeric, epoch_time(_number(field))).when(
-        k == "STRING",
-        F.when(text.rlike(EPOCH_NUMBER), epoch_time(text.try_cast("double"))).otherwise(iso_time(text)),
+    return F.when(_kind(name) == "STRING", event_time_utc(_text(name))).when(
+        _number(name), epoch_time(_as(name, "double"))
     )
-    error = (
-        F.when(field.isNull(), MISSING)
-        .when(value.isNotNull(), F.lit(None).cast("string"))
-        .when(numeric | (k == "STRING"), TIME_PARSING)
-        .otherwise(TIME_TYPE)
+
+
+def time_error(name: str, value: Column) -> Column:
+    return F.when(F.col(f"_{name}").isNull(), MISSING).when(
+        value.isNull(), F.when(_number(name) | (_kind(name) == "STRING"), TIME_PARSING).otherwise(TIME_TYPE)
     )
-    return value, error
 
 
-def broken(*rules: tuple[str, Column]) -> Column:
-    """Array of ``(field, error)`` for the rules that are broken, in the order given."""
+def broken(is_json: Column, good: Column, rules: dict[str, Column]) -> Column:
+    """Array of ``(field, error)`` for the broken rules, in the order given.
+
+    ``good`` must hold exactly if no rule is broken; the rules are then not looked at.
+    """
+    unreadable = F.array(F.struct(F.lit("$").alias("field"), F.lit(NOT_JSON).alias("error")))
     found = [
         F.when(error.isNotNull(), F.struct(F.lit(name).alias("field"), error.alias("error")))
-        for name, error in rules
+        for name, error in rules.items()
     ]
-    return F.array_compact(F.array(*found))
+    nothing = F.array().cast("array<struct<field:string,error:string>>")
+    return F.when(good, nothing).when(is_json, F.array_compact(F.array(*found))).otherwise(unreadable)

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 # ISO date, then optionally a separator, HH:MM, :SS, a fraction and a zone.
 ISO_TIME = (
     r"^(\d{4}-\d{2}-\d{2})"
-    r"(?:[Tt _](\d{2}:\d{2})(:\d{2}(?:[.,]\d+)?)?([Zz]|[+\-−]\d{2}:?\d{2})?)?\z"
+    r"(?:[Tt _](\d{2}:\d{2})(?:(:\d{2})(?:[.,]\d+)?)?([Zz]|[+\-−]\d{2}:?\d{2})?)?\z"
 )
+USUAL_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-]\d{2}:\d{2})?\z"
+NO_SECONDS = r"^(.{10}[Tt _]\d{2}:\d{2})(?=[Zz+\-−]|\z)"
 EPOCH_NUMBER = r"^[+-]?\d+(\.\d+)?\z"
 # Epoch numbers beyond this size are milliseconds, smaller ones seconds.
 MILLISECONDS_FROM = 2e10
@@ -36,15 +38,9 @@ def booking_ts(text: Column) -> Column:
 
 def iso_time(text: Column) -> Column:
     """Timestamp of ISO-8601 text in whole seconds, the offset applied; NULL if it is not ISO."""
-    zone = F.regexp_replace(F.upper(F.regexp_extract(text, ISO_TIME, 4)), "−", "-")
-    clock = F.regexp_extract(text, ISO_TIME, 2)
-    seconds = F.substring(F.regexp_extract(text, ISO_TIME, 3), 1, 3)
-    plain = F.concat(
-        F.regexp_extract(text, ISO_TIME, 1),
-        F.when(clock != "", F.concat(F.lit(" "), clock, F.when(seconds == "", ":00").otherwise(seconds), zone))
-        .otherwise(""),
-    )
-    return F.when(text.rlike(ISO_TIME), plain.try_cast("timestamp"))
+    whole = F.regexp_replace(text, NO_SECONDS, "$1:00")
+    plain = F.translate(F.regexp_replace(whole, ISO_TIME, "$1 $2$3$4"), "z−", "Z-")
+    return F.when(text.rlike(ISO_TIME), F.trim(plain).try_cast("timestamp"))
 
 
 def epoch_time(number: Column) -> Column:
@@ -57,4 +53,9 @@ def epoch_time(number: Column) -> Column:
 
 def event_time_utc(text: Column) -> Column:
     """Event time text (ISO-8601 or an epoch number) as a UTC timestamp in whole seconds."""
-    return F.when(text.rlike(EPOCH_NUMBER), epoch_time(text.try_cast("double"))).otherwise(iso_time(text))
+    usual = F.date_trunc("second", text.try_cast("timestamp"))
+    return (
+        F.when(text.rlike(USUAL_TIME), usual)
+        .when(text.rlike(EPOCH_NUMBER), epoch_time(text.try_cast("double")))
+        .otherwise(iso_time(text))
+    )

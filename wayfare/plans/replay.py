@@ -32,40 +32,26 @@ def encode_for_replay(picked: DataFrame) -> DataFrame:
 
     ``properties`` objects become JSON text. A message needs every required field in its type.
     """
-    parsed = picked.withColumn("_v", F.try_parse_json("raw_event")).select(
-        *picked.columns,
-        *[
-            lenient.member(F.col("_v"), f"$.{name}").alias(f"_{name}")
-            for name in ("event_id", "user_id", "event_type", "event_time", "properties", "device_type")
-        ],
-    )
-
-    def text(name: str) -> Column:
-        return F.when(
-            lenient.kind(F.col(name)) == "STRING", F.try_variant_get(F.col(name), "$", "string")
-        )
-
+    names = ("event_id", "user_id", "event_type", "event_time", "properties", "device_type")
+    renamed = picked.select(F.col("event_id").alias("dead_id"), "raw_event", F.try_parse_json("raw_event").alias("_v"))
+    fields = lenient.take(renamed, "_v", names)
     # From the message text, which keeps the keys in their order.
     written = F.get_json_object("raw_event", "$.properties")
-    properties = F.when(lenient.kind(F.col("_properties")) == "OBJECT", written).otherwise(text("_properties"))
-    message = parsed.select(
-        "event_id",
-        F.struct(
-            text("_event_id").alias("event_id"),
-            F.when(
-                lenient.kind(F.col("_user_id")) == "BIGINT", F.try_variant_get("_user_id", "$", "bigint")
-            ).alias("user_id"),
-            F.when(text("_event_type").isin(*EVENT_TYPES), text("_event_type")).alias("event_type"),
-            text("_event_time").alias("event_time"),
-            properties.alias("properties"),
-            text("_device_type").alias("device_type"),
-        ).alias("_m"),
+    message = lenient.settle(
+        fields,
+        event_id=lenient.text_value("event_id"),
+        user_id=F.when(F.col("_user_id_kind") == "BIGINT", F.try_variant_get("_user_id", "$", "bigint")),
+        event_type=lenient.choice_value("event_type", EVENT_TYPES),
+        event_time=lenient.text_value("event_time"),
+        properties=F.when(F.col("_properties_kind") == "OBJECT", written).otherwise(
+            lenient.text_value("properties")
+        ),
+        device_type=lenient.text_value("device_type"),
     )
     required = ("event_id", "user_id", "event_type", "event_time", "properties")
-    whole = F.lit(True)
-    for name in required:
-        whole = whole & F.col(f"_m.{name}").isNotNull()
-    return message.where(whole).select("event_id", F.to_json("_m").alias("value"))
+    return message.dropna(subset=list(required)).select(
+        F.col("dead_id").alias("event_id"), F.to_json(F.struct(*required, "device_type")).alias("value")
+    )
 
 
 def mark_replayed(dlq: DataFrame, delivered: DataFrame, at: datetime | str | Column | None = None) -> DataFrame:

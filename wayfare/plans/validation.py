@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ USER_EVENTS_TOPIC = "user.events.avro"
 # Fixed values of the contracts.
 EVENT_TYPES = ("search_performed", "booking_started", "payment_completed")
 PLATFORMS = ("google_ads", "meta_ads")
+AD_COLUMNS = ("platform", "campaign_id", "campaign_name", "impressions", "clicks", "spend")
 NOT_JSON = "JSONDecodeError"
 NOT_VALID = "ValidationError"
 # Canonical lower-case form only: keyed updates compare the text.
@@ -43,52 +46,50 @@ def validate_user_events(messages: DataFrame) -> DataFrame:
     may be an object or the JSON text of one. Unknown fields are ignored. The message is parsed
     once, and no message text can fail the job.
     """
-    parsed = messages.withColumn("_v", F.try_parse_json("value"))
-    fields = parsed.select(
-        *messages.columns,
-        F.col("_v").isNotNull().alias("_is_json"),
-        *[
-            lenient.member(F.col("_v"), f"$.{name}").alias(f"_{name}")
-            for name in ("event_id", "user_id", "event_type", "event_time", "properties")
-        ],
-    )
-    written = lenient.kind(F.col("_properties")) == "STRING"
+    names = ("event_id", "user_id", "event_type", "event_time", "properties")
+    fields = lenient.take(messages.withColumn("_v", F.try_parse_json("value")), "_v", names)
+    written = F.try_parse_json(F.when(F.col("_properties_kind") == "STRING", F.col("_properties_text")))
     opened = fields.withColumn(
-        "_object",
-        F.when(written, F.try_parse_json(F.try_variant_get("_properties", "$", "string"))).otherwise(
-            F.col("_properties")
-        ),
-    ).withColumn("_route", lenient.member(F.col("_object"), "$.route"))
-
-    event_id, event_id_error = lenient.read_text(F.col("_event_id"))
-    user_id, user_id_error = lenient.read_int(F.col("_user_id"))
-    user_id_error = F.coalesce(user_id_error, F.when(user_id < 0, lenient.NEGATIVE))
-    event_type, event_type_error = lenient.read_choice(F.col("_event_type"), EVENT_TYPES)
-    event_time, event_time_error = lenient.read_time(F.col("_event_time"))
-    route, route_error = lenient.read_text(F.col("_route"))
-    properties_error = (
+        "_object", F.when(F.col("_properties_kind") == "STRING", written).otherwise(F.col("_properties"))
+    )
+    routed = lenient.take(opened, "_object", ["route"]).withColumn(
+        "_object_kind", F.regexp_extract(F.schema_of_variant("_object"), "^[A-Z]+", 0)
+    )
+    values = lenient.settle(
+        routed,
+        event_id=lenient.text_value("event_id"),
+        user_id=lenient.int_value("user_id"),
+        event_type=lenient.choice_value("event_type", EVENT_TYPES),
+        event_time=lenient.time_value("event_time"),
+        route=lenient.text_value("route"),
+    )
+    bad_object = (
         F.when(F.col("_properties").isNull(), lenient.MISSING)
         .when(F.col("_object").isNull(), lenient.NOT_JSON)
-        .when(lenient.kind(F.col("_object")) != "OBJECT", lenient.DICT_TYPE)
-    )
-    rules = lenient.broken(
-        ("event_id", event_id_error),
-        ("user_id", user_id_error),
-        ("event_type", event_type_error),
-        ("event_time", event_time_error),
-        ("properties", properties_error),
-        ("properties.route", F.when(properties_error.isNull(), route_error)),
+        .when(F.col("_object_kind") != "OBJECT", lenient.DICT_TYPE)
     )
-    unreadable = F.array(F.struct(F.lit("$").alias("field"), F.lit(lenient.NOT_JSON).alias("error")))
-    return opened.select(
+    rules = {
+        "event_id": lenient.text_error("event_id"),
+        "user_id": F.coalesce(
+            lenient.int_error("user_id", F.col("user_id")), F.when(F.col("user_id") < 0, lenient.NEGATIVE)
+        ),
+        "event_type": lenient.choice_error("event_type", F.col("event_type")),
+        "event_time": lenient.time_error("event_time", F.col("event_time")),
+        "properties": bad_object,
+        "properties.route": F.when(F.col("_object_kind") == "OBJECT", lenient.text_error("route")),
+    }
+    present = [F.col(name).isNotNull() for name in ("event_id", "event_type", "event_time", "route")]
+    good = reduce(and_, present, F.col("user_id") >= 0)
+    judged = lenient.settle(values, violations=lenient.broken(F.col("_v").isNotNull(), good, rules))
+    return judged.select(
         *messages.columns,
-        event_id.alias("event_id"),
-        user_id.alias("user_id"),
-        event_type.alias("event_type"),
-        event_time.alias("event_time"),
-        route.alias("route"),
+        "event_id",
+        "user_id",
+        "event_type",
+        "event_time",
+        "route",
         F.try_variant_get("_event_id", "$", "string").alias("stated_id"),
-        F.when(F.col("_is_json"), rules).otherwise(unreadable).alias("violations"),
+        "violations",
     )
 
 
@@ -156,53 +157,46 @@ def check_ads(messages: DataFrame) -> DataFrame:
     A missing metric is 0; a metric that is present must be a number and not negative. Names
     are trimmed and must not be blank. Unknown fields are ignored.
     """
-    parsed = messages.withColumn("_v", F.try_parse_json("value"))
-    fields = parsed.select(
-        *messages.columns,
-        F.col("_v").isNotNull().alias("_is_json"),
-        *[
-            lenient.member(F.col("_v"), f"$.{name}").alias(f"_{name}")
-            for name in ("platform", "campaign_id", "campaign_name", "impressions", "clicks", "spend")
-        ],
-    )
-    platform, platform_error = lenient.read_choice(F.col("_platform"), PLATFORMS)
-    campaign_id, campaign_id_error = lenient.read_int(F.col("_campaign_id"))
-    name, name_error = lenient.read_text(F.col("_campaign_name"))
-    name = F.regexp_replace(name, r"^\s+|\s+\z", "")
-    name_error = F.coalesce(name_error, F.when(F.length(name) == 0, "value_error"))
-
-    def metric(reader, field: str, zero: Column) -> tuple[Column, Column]:
-        value, error = reader(F.col(field))
-        error = F.when(F.col(field).isNotNull(), F.coalesce(error, F.when(value < 0, "value_error")))
-        return F.coalesce(value, zero), error
-
-    impressions, impressions_error = metric(lenient.read_int, "_impressions", F.lit(0).cast("bigint"))
-    clicks, clicks_error = metric(lenient.read_int, "_clicks", F.lit(0).cast("bigint"))
-    spend, spend_error = metric(lenient.read_float, "_spend", F.lit(0.0))
-    rules = lenient.broken(
-        ("platform", platform_error),
-        ("campaign_id", campaign_id_error),
-        ("campaign_name", name_error),
-        ("impressions", impressions_error),
-        ("clicks", clicks_error),
-        ("spend", spend_error),
+    fields = lenient.take(messages.withColumn("_v", F.try_parse_json("value")), "_v", AD_COLUMNS)
+    values = lenient.settle(
+        fields,
+        platform=lenient.choice_value("platform", PLATFORMS),
+        campaign_id=lenient.int_value("campaign_id"),
+        campaign_name=F.regexp_replace(lenient.text_value("campaign_name"), r"^\s+|\s+\z", ""),
+        impressions=lenient.int_value("impressions"),
+        clicks=lenient.int_value("clicks"),
+        spend=lenient.float_value("spend"),
     )
-    unreadable = F.array(F.struct(F.lit("$").alias("field"), F.lit(lenient.NOT_JSON).alias("error")))
-    return fields.select(
+
+    def metric(name: str, error: Column) -> Column:
+        below = F.when(F.col(name) < 0, lenient.VALUE)
+        return F.when(F.col(f"_{name}").isNotNull(), F.coalesce(error, below))
+
+    blank = F.when(F.length("campaign_name") == 0, lenient.VALUE)
+    rules = {
+        "platform": lenient.choice_error("platform", F.col("platform")),
+        "campaign_id": lenient.int_error("campaign_id", F.col("campaign_id")),
+        "campaign_name": F.coalesce(lenient.text_error("campaign_name"), blank),
+        "impressions": metric("impressions", lenient.int_error("impressions", F.col("impressions"))),
+        "clicks": metric("clicks", lenient.int_error("clicks", F.col("clicks"))),
+        "spend": metric("spend", lenient.float_error("spend", F.col("spend"))),
+    }
+    metrics = [F.col(f"_{name}").isNull() | (F.col(name) >= 0) for name in ("impressions", "clicks", "spend")]
+    known = [F.col("platform").isNotNull(), F.col("campaign_id").isNotNull()]
+    good = reduce(and_, [*known, *metrics], F.length("campaign_name") > 0)
+    judged = lenient.settle(values, violations=lenient.broken(F.col("_v").isNotNull(), good, rules))
+    return judged.select(
         *messages.columns,
-        platform.alias("platform"),
-        campaign_id.alias("campaign_id"),
-        name.alias("campaign_name"),
-        impressions.alias("impressions"),
-        clicks.alias("clicks"),
-        spend.alias("spend"),
-        F.when(F.col("_is_json"), rules).otherwise(unreadable).alias("violations"),
+        "platform",
+        "campaign_id",
+        "campaign_name",
+        F.coalesce("impressions", F.lit(0)).alias("impressions"),
+        F.coalesce("clicks", F.lit(0)).alias("clicks"),
+        F.coalesce("spend", F.lit(0.0)).alias("spend"),
+        "violations",
     )
 
 
-AD_COLUMNS = ("platform", "campaign_id", "campaign_name", "impressions", "clicks", "spend")
-
-
 def validate_ads(messages: DataFrame, mode: str = "fail") -> DataFrame:
     """Valid ad records. ``mode='fail'``: one invalid record refuses the whole batch."""
     checked = check_ads(messages)

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.functions.lenient import settle
 from wayfare.functions.times import booking_ts
 from wayfare.plans.validation import validate_ads
 
@@ -110,7 +111,7 @@ def read_envelopes(changes: DataFrame) -> DataFrame:
         {"columnNameOfCorruptRecord": "_corrupt"},
     )
     image = {name: F.coalesce(F.col(f"_e.{name}"), F.lit("null")) for name in ("before", "after")}
-    return changes.withColumn("_e", envelope).select(
+    return settle(changes, _e=envelope).select(
         *changes.columns,
         (F.col("_e").isNotNull() & F.col("_e._corrupt").isNull()).alias("readable"),
         F.col("_e.op").alias("op"),

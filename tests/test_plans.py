@@ -1,0 +1,212 @@
+"""Staging, marts, checks and metrics on hand-written rows."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from wayfare.plans import marts, metrics, quality, staging, validation
+from wayfare.sources import schemas
+
+T0 = datetime(2024, 1, 1)
+
+
+def bookings(spark, *rows):
+    """Rows of (booking_id, status, price, minute loaded[, run])."""
+    full = [
+        (r[0], 100 + r[0], "R1", "bus", r[1], r[2], "USD", T0, T0 + timedelta(minutes=r[3]), r[4] if len(r) > 4 else "r1")
+        for r in rows
+    ]
+    return spark.createDataFrame(full, schemas.schema("raw_bookings"))
+
+
+def cdc(spark, *rows):
+    """Rows of (op, after, source_ts_ms[, order_id])."""
+    full = [
+        (r[3] if len(r) > 3 else None, r[0], "null", r[1], "t", r[2], T0 + timedelta(seconds=n))
+        for n, r in enumerate(rows)
+    ]
+    return spark.createDataFrame(full, schemas.schema("raw_cdc_orders"))
+
+
+def test_latest_booking_and_invalid_versions(spark, rows):
+    raw = bookings(spark, (1, "created", 10.0, 0), (1, "paid", 12.0, 5), (2, "paid", 5.0, 1), (2, "paid", -5.0, 2), (0, "paid", 1.0, 0))
+    latest = rows(staging.stg_bookings_latest(raw), "booking_id", "status", "price")
+    assert latest == [(0, "paid", 1.0), (1, "paid", 12.0), (2, "paid", -5.0)]
+    staged = staging.stg_bookings_latest(staging.valid_bookings(raw.where(F.col("loaded_at") <= F.lit(T0))))
+    after = rows(staging.stg_bookings_incremental(raw, staged), "booking_id", "status", "price")
+    assert after == [(1, "paid", 12.0), (2, "paid", 5.0)]
+
+
+def test_booking_dead_letters(spark, rows):
+    raw = bookings(spark, (0, "paid", -1.0, 0), (1, "paid", -22.0, 0), (2, "paid", 0.0, 0))
+    valid, letters = validation.split_bookings(raw, T0)
+    assert rows(valid, "booking_id") == [(2,)]
+    assert rows(letters, "booking_id", "error_reason") == [(0, "booking_id is missing or zero"), (1, "price is negative")]
+    assert letters.where("booking_id = 1").head().raw_record == (
+        '{"booking_id":"1","user_id":"101","route":"R1","transport_type":"bus","status":"paid","price":"-22",'
+        '"currency":"USD","created_at":"2024-01-01 00:00:00.000","loaded_at":"2024-01-01 00:00:00.000","run_id":"r1"}'
+    )
+    assert rows(quality.error_reasons(letters)) == [("booking_id is missing or zero", 1), ("price is negative", 1)]
+    assert quality.row_count(letters).head()[0] == 2
+
+
+def test_orders_from_changes(spark, rows):
+    def image(n, status, extra=""):
+        return f'{{"order_id":{n},"user_id":7,"status":"{status}","price":10.5{extra}}}'
+
+    raw = cdc(
+        spark,
+        ("r", image(1, "snap"), 1, 1),
+        ("c", image(2, "old"), 1, 2),
+        ("u", image(2, "new", ',"campaign_id":9,"created_at":1716552000000000'), 2, 2),
+        ("u", image(2, "untimed"), None, 2),
+        ("d", "null", 3, 2),
+        ("c", "null", 5, 3),
+        ("c", "", 5, 4),
+        ("c", '{"user_id":1}', 1, None),
+    )
+    got = rows(staging.stg_orders(raw), "order_id", "status", "campaign_id", "price")
+    # the deleted order 2 keeps its last live state; a missing key is order 0
+    assert got == [(0, "", 0, 0.0), (1, "snap", 0, 10.5), (2, "new", 9, 10.5)]
+    assert staging.stg_orders(raw).where("order_id = 2").head().created_at == datetime(2024, 5, 24, 12)
+    legacy = rows(staging.stg_orders(raw, legacy=True), "order_id", "status")
+    assert legacy == [(0, ""), (2, "new")]
+
+
+def test_legacy_orders_prefer_the_later_arrival(spark, rows):
+    raw = cdc(spark, ("c", '{"order_id":1,"status":"z"}', 1, 1), ("u", '{"order_id":1,"status":"a"}', 1, 1))
+    assert rows(staging.stg_orders(raw, legacy=True), "status") == [("a",)]
+
+
+def ads(spark, *rows):
+    full = [(n, f"c{n}", clicks, seen, spend, platform, T0) for platform, n, clicks, seen, spend in rows]
+    return spark.createDataFrame(full, schemas.schema("raw_google_ads"))
+
+
+def test_campaign_mart_worked_example(spark, rows):
+    """Two campaigns with the sample orders; cost per booking and return on spend by hand."""
+    google = ads(spark, ("google_ads", 1001, 1200, 45000, 350.75))
+    meta = ads(spark, ("meta_ads", 2001, 640, 19000, 145.20), ("meta_ads", 3001, 0, 0, 0.0))
+    orders = spark.createDataFrame(
+        [
+            (1, "paid", 450.0, 1001), (2, "completed", 89.5, 1001), (3, "paid", 175.25, 1001),
+            (4, "paid", 1200.0, 2001), (5, "cancelled", 45.0, 2001), (6, "paid", 1.0, 0),
+        ],
+        "order_id long, status string, price double, campaign_id long",
+    )
+    staged = staging.stg_ads_latest(google, meta)
+    got = {r.campaign_id: r for r in marts.mart_campaign_performance(staged, orders).collect()}
+    assert (got["1001"].bookings, got["1001"].revenue) == (3, 714.75)
+    assert round(got["1001"].cpa, 6) == 116.916667 and round(got["1001"].roas, 6) == 2.037776
+    assert (got["2001"].bookings, got["2001"].revenue, got["2001"].cpa) == (1, 1200.0, 145.2)
+    assert round(got["2001"].roas, 6) == 8.264463
+    assert (got["3001"].bookings, got["3001"].revenue, got["3001"].cpa, got["3001"].roas) == (0, 0.0, 0.0, 0.0)
+    rates = {r.campaign_id: (r.ctr, r.cpc) for r in marts.mart_ad_performance(staged).collect()}
+    assert rates["3001"] == (0.0, 0.0) and rates["1001"] == (1200 / 45000, 350.75 / 1200)
+
+
+def test_booking_marts(spark, rows):
+    stg = bookings(spark, (1, "paid", 35.5, 0), (2, "created", 22.0, 0), (3, "cancelled", 9.0, 0))
+    assert rows(marts.mart_daily_bookings(stg)) == [(T0.date(), 3, 1, 1, 1, 35.5)]
+    assert rows(marts.mart_route_revenue(stg)) == [("R1", "bus", 3, 1, 35.5)]
+    assert rows(marts.mart_booking_status(stg)) == [("cancelled", 1), ("created", 1), ("paid", 1)]
+    only = marts.mart_route_revenue(stg.where("status = 'created'"))
+    assert rows(only) == [("R1", "bus", 1, 0, 0.0)]
+
+
+def events(spark, *rows):
+    full = [(f"e{n}", user, kind, T0, "{}", "t", T0) for n, (user, kind) in enumerate(rows)]
+    return spark.createDataFrame(full, schemas.schema("raw_user_events"))
+
+
+def test_conversion_by_events_and_by_users(spark):
+    stg = events(spark, (1, "search_performed"), (1, "search_performed"), (2, "search_performed"), (1, "booking_started"), (1, "booking_started"), (3, "payment_completed"))
+    by_events = dict(marts.mart_booking_conversion(stg).collect())
+    assert by_events == {"searches": 3.0, "bookings": 2.0, "payments": 1.0, "search_to_booking_rate": 2 / 3, "booking_to_payment_rate": 0.5}
+    by_users = dict(marts.mart_booking_conversion(stg, by="users").collect())
+    assert by_users == {"searches": 2.0, "bookings": 1.0, "payments": 1.0, "search_to_booking_rate": 0.5, "booking_to_payment_rate": 1.0}
+    assert set(dict(marts.mart_booking_conversion(stg.limit(0)).collect()).values()) == {0.0}
+    with pytest.raises(ValueError):
+        marts.mart_booking_conversion(stg, by="rows")
+
+
+def test_funnel_counts_users_exactly(spark, rows):
+    stg = events(spark, (1, "search_performed"), (1, "search_performed"), (2, "booking_started"))
+    assert rows(marts.mart_user_event_funnel(stg)) == [("booking_started", 1, 1), ("search_performed", 1, 2)]
+
+
+def results(df):
+    return {r.check_name: (r.check_status, r.check_value, r.check_threshold) for r in df.collect()}
+
+
+def test_suite_on_good_and_bad_bookings(spark):
+    raw = bookings(spark, (1, "paid", 1.0, 0), (1, "paid", 2.0, 1), (1, "paid", 3.0, 1, "r2"), (2, "paid", 1.0, 0))
+    assert results(quality.run_suite(raw, quality.RAW_BOOKINGS, T0 + timedelta(minutes=121, seconds=59))) == {
+        "raw_bookings_completeness": ("PASS", 4.0, 1.0),
+        "raw_bookings_freshness": ("PASS", 120.0, 120.0),
+        "raw_bookings_duplicates_within_run": ("FAIL", 1.0, 0.0),
+    }
+    late = results(quality.run_suite(raw, quality.RAW_BOOKINGS, T0 + timedelta(minutes=122)))
+    assert late["raw_bookings_freshness"] == ("FAIL", 121.0, 120.0)
+
+
+def test_suite_on_an_empty_table(spark):
+    empty = bookings(spark).limit(0) if False else spark.createDataFrame([], schemas.schema("raw_bookings"))
+    got = results(quality.run_suite(empty, quality.STG_BOOKINGS, T0))
+    assert got["stg_bookings_completeness"][0] == "FAIL"
+    assert got["stg_bookings_freshness"][0] == "FAIL"
+    assert got["stg_bookings_uniqueness"] == ("PASS", 0.0, 0.0)
+
+
+def test_order_checks_record_and_stop(spark, tmp_path):
+    orders = spark.createDataFrame(
+        [(1, "paid", 0.0), (1, "created", 5.0), (2, "cancelled", -1.0)], "order_id long, status string, price double"
+    )
+    path = str(tmp_path / "dq")
+    with pytest.raises(quality.QualityError, match="stg_orders_valid_status"):
+        quality.check_and_record(orders, quality.STG_ORDERS, path, T0)
+    good = spark.createDataFrame([(1, "paid", 1.0)], orders.schema)
+    quality.check_and_record(good, quality.STG_ORDERS, path, T0 + timedelta(hours=1))
+    history = spark.read.parquet(path)
+    assert history.count() == 8
+    first = results(history.where(F.col("checked_at") == F.lit(T0)))
+    assert {name: status for name, (status, *_) in first.items()} == {
+        "stg_orders_not_empty": "PASS",
+        "stg_orders_duplicate_order_ids": "FAIL",
+        "stg_orders_positive_price_for_revenue_orders": "FAIL",
+        "stg_orders_valid_status": "FAIL",
+    }
+    latest = marts.mart_dq_latest_results(history)
+    assert {r.check_status for r in latest.collect()} == {"PASS"} and latest.count() == 4
+
+
+def test_second_uniqueness_key_and_null_keys(spark):
+    frame = spark.createDataFrame([(1, "a"), (1, "b"), (None, "b"), (None, "c")], "k long, s string")
+    got = results(quality.run_suite(frame, [quality.unique("k", "k"), quality.unique("s", "s"), quality.not_null("n", "k")], T0))
+    assert got == {"k": ("FAIL", 1.0, 0.0), "s": ("FAIL", 1.0, 0.0), "n": ("FAIL", 2.0, 0.0)}
+
+
+def test_declared_model_tests_number(spark):
+    checks = [check for model in quality.MODEL_TESTS for check in quality.model_checks(model)]
+    assert len(checks) == 39 and sum(check.kind == "unique" for check in checks) == 4
+
+
+def test_metrics_and_questions(spark, rows):
+    stg = bookings(spark, (1, "paid", 35.5, 0), (2, "created", 22.0, 0))
+    assert rows(metrics.metric(stg, ["total_bookings", "paid_bookings", "total_revenue"])) == [(2, 1, 35.5)]
+    assert rows(metrics.metric(stg, "total_revenue", by=["status"])) == [("created", 0.0), ("paid", 35.5)]
+    models = {
+        "mart_route_revenue": marts.mart_route_revenue(stg),
+        "mart_booking_status": marts.mart_booking_status(stg),
+        "mart_daily_bookings": marts.mart_daily_bookings(stg),
+        "dlq_bookings": spark.range(3),
+    }
+    assert rows(metrics.question("Top routes by revenue", models)) == [("R1", "bus", 35.5)]
+    assert metrics.question("booking status distribution", models).columns == ["status", "total_bookings"]
+    assert rows(metrics.question("paid bookings per day", models)) == [(T0.date(), 1)]
+    assert metrics.question("size of the DLQ", models).head()[0] == 3
+    assert rows(metrics.question("anything else", models)) == [(T0.date(), 2, 35.5)]
+    assert metrics.model_metric("route_revenue", models).count() == 1
+    for model, grain in metrics.GRAINS.items():
+        assert models[model].groupBy(*grain).count().where("count > 1").count() == 0

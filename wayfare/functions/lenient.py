@@ -33,6 +33,19 @@ INT_TEXT = r"^\s*[+-]?\d+(_\d+)*(\.0+)?\s*\z"
 FLOAT_TEXT = r"^\s*[+-]?(\d+(_\d+)*\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z"
 
 
+def parse_whole(text: Column) -> Column:
+    """The one JSON document a text consists of as a VARIANT; NULL if it is anything else.
+
+    The JSON readers stop after the first document and would not see what follows it. So the text
+    is read as the first element of an array whose second one shows that the end was reached.
+    """
+    mark = F.xxhash64(text)
+    read = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]")))
+    return F.when(
+        F.try_variant_get(read, "$[1]", "bigint") == mark, F.try_variant_get(read, "$[0]", "variant")
+    )
+
+
 def take(df: DataFrame, document: str, fields: Sequence[str]) -> DataFrame:
     """Add per field of a VARIANT column: ``_<field>``, its JSON kind and its text if it is a STRING.
 

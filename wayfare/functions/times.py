@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,15 @@ MILLISECONDS_FROM = 2e10
 LAST_SECOND = 253402300799  # 9999-12-31 23:59:59
 
 
+def instant(value: datetime | str | Column | None = None) -> Column:
+    """A timestamp column in whole milliseconds; the query's own start time if none is given."""
+    if value is None:
+        value = F.current_timestamp()
+    elif not isinstance(value, Column):
+        value = F.lit(value)
+    return F.date_trunc("millisecond", value.cast("timestamp"))
+
+
 def minutes_between(start: Column, end: Column) -> Column:
     """Minute boundaries crossed from start to end (not whole minutes elapsed)."""
 

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions import lenient
+from wayfare.functions.times import instant
 from wayfare.operators import top_k, update_flags
-from wayfare.plans.validation import EVENT_TYPES, USER_EVENTS_TOPIC, _now, is_uuid
+from wayfare.plans.validation import EVENT_TYPES, USER_EVENTS_TOPIC, is_uuid
 
 BATCH = 20
 MAX_REPLAYS = 3
@@ -33,8 +34,9 @@ def encode_for_replay(picked: DataFrame) -> DataFrame:
     ``properties`` objects become JSON text. A message needs every required field in its type.
     """
     names = ("event_id", "user_id", "event_type", "event_time", "properties", "device_type")
-    renamed = picked.select(F.col("event_id").alias("dead_id"), "raw_event", F.try_parse_json("raw_event").alias("_v"))
-    fields = lenient.take(renamed, "_v", names)
+    renamed = picked.select(F.col("event_id").alias("dead_id"), "raw_event")
+    parsed = lenient.settle(renamed, _v=lenient.parse_whole(F.col("raw_event")))
+    fields = lenient.take(parsed, "_v", names)
     # From the message text, which keeps the keys in their order.
     written = F.get_json_object("raw_event", "$.properties")
     message = lenient.settle(
@@ -62,7 +64,7 @@ def mark_replayed(dlq: DataFrame, delivered: DataFrame, at: datetime | str | Col
         "event_id",
         {
             "replayed": F.lit(True),
-            "replayed_at": F.date_trunc("millisecond", _now(at)),
+            "replayed_at": instant(at),
             "replay_count": F.col("replay_count") + 1,
         },
     )
@@ -74,7 +76,7 @@ def mark_recovered(dlq: DataFrame, succeeded: DataFrame, at: datetime | str | Co
         dlq,
         succeeded.where(is_uuid(F.col("event_id"))),
         "event_id",
-        {"recovered": F.lit(True), "recovered_at": F.date_trunc("millisecond", _now(at))},
+        {"recovered": F.lit(True), "recovered_at": instant(at)},
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.jsontext import as_float, as_text, as_time, as_uint, json_uint
 from wayfare.operators import after_high_water, latest_by, union_all, upsert_latest
-from wayfare.plans.validation import booking_error
+from wayfare.plans.validation import booking_is_valid
 
 BOOKING_COLUMNS = (
     "booking_id", "user_id", "route", "transport_type", "status", "price", "currency",
@@ -33,7 +33,7 @@ def stg_bookings_latest(raw: DataFrame) -> DataFrame:
 
 def valid_bookings(raw: DataFrame) -> DataFrame:
     """Bookings with a key and no negative price."""
-    return raw.where(booking_error().isNull())
+    return raw.where(booking_is_valid())
 
 
 def new_bookings(raw: DataFrame, staged: DataFrame) -> DataFrame:

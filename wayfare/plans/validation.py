@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions import lenient
 from wayfare.functions.jsontext import plain_number, to_json_strings
+from wayfare.functions.times import instant
 
 USER_EVENTS_TOPIC = "user.events.avro"
 
@@ -28,12 +29,6 @@ class InvalidBatch(ValueError):
     """A batch that must be valid as a whole holds invalid records."""
 
 
-def _now(value: datetime | str | Column | None) -> Column:
-    if value is None:
-        return F.current_timestamp()
-    return (value if isinstance(value, Column) else F.lit(value)).cast("timestamp")
-
-
 def is_uuid(text: Column) -> Column:
     """Whether a text is a canonical UUID; NULL counts as no."""
     return F.coalesce(text.rlike(UUID_TEXT), F.lit(False))
@@ -47,10 +42,11 @@ def validate_user_events(messages: DataFrame) -> DataFrame:
     once, and no message text can fail the job.
     """
     names = ("event_id", "user_id", "event_type", "event_time", "properties")
-    fields = lenient.take(messages.withColumn("_v", F.try_parse_json("value")), "_v", names)
-    written = F.try_parse_json(F.when(F.col("_properties_kind") == "STRING", F.col("_properties_text")))
-    opened = fields.withColumn(
-        "_object", F.when(F.col("_properties_kind") == "STRING", written).otherwise(F.col("_properties"))
+    fields = lenient.take(lenient.settle(messages, _v=lenient.parse_whole(F.col("value"))), "_v", names)
+    written = lenient.parse_whole(F.col("_properties_text"))
+    opened = lenient.settle(
+        fields,
+        _object=F.when(F.col("_properties_kind") == "STRING", written).otherwise(F.col("_properties")),
     )
     routed = lenient.take(opened, "_object", ["route"]).withColumn(
         "_object_kind", F.regexp_extract(F.schema_of_variant("_object"), "^[A-Z]+", 0)
@@ -114,7 +110,7 @@ def normalize_user_event(
         "event_time",
         F.to_json(F.struct("route")).alias("properties"),
         F.lit(topic).alias("source_topic"),
-        F.date_trunc("millisecond", _now(ingested_at)).alias("ingested_at"),
+        instant(ingested_at).alias("ingested_at"),
     )
 
 
@@ -129,7 +125,7 @@ def dead_letters(
     failed_at: datetime | str | Column | None = None,
 ) -> DataFrame:
     """Refused events as dead-letter rows: whole text, reason, untouched lifecycle flags."""
-    now = _now(failed_at)
+    now = instant(failed_at)
     reason = F.to_json(
         F.struct(
             error_type(F.col("violations")).alias("error_type"),
@@ -142,7 +138,7 @@ def dead_letters(
         F.col("value").alias("raw_event"),
         reason.alias("error_reason"),
         F.lit(topic).alias("source_topic"),
-        F.date_trunc("millisecond", now).alias("failed_at"),
+        now.alias("failed_at"),
         F.lit(False).alias("recovered"),
         F.lit(None).cast("timestamp").alias("recovered_at"),
         F.lit(0).alias("replay_count"),
@@ -157,7 +153,7 @@ def check_ads(messages: DataFrame) -> DataFrame:
     A missing metric is 0; a metric that is present must be a number and not negative. Names
     are trimmed and must not be blank. Unknown fields are ignored.
     """
-    fields = lenient.take(messages.withColumn("_v", F.try_parse_json("value")), "_v", AD_COLUMNS)
+    fields = lenient.take(lenient.settle(messages, _v=lenient.parse_whole(F.col("value"))), "_v", AD_COLUMNS)
     values = lenient.settle(
         fields,
         platform=lenient.choice_value("platform", PLATFORMS),
@@ -210,16 +206,21 @@ def validate_ads(messages: DataFrame, mode: str = "fail") -> DataFrame:
 
 
 def booking_is_valid() -> Column:
+    """A key and no negative price. Plain comparisons, so the scan can use them."""
     return (F.col("booking_id") != 0) & (F.col("price") >= 0)
 
 
+def booking_is_invalid() -> Column:
+    booking_id, price = F.col("booking_id"), F.col("price")
+    return (booking_id == 0) | (price < 0) | booking_id.isNull() | price.isNull()
+
+
 def booking_error() -> Column:
-    """Reason of the first broken booking rule; NULL for a valid booking. Texts are fixed values."""
+    """Reason of the first rule an invalid booking breaks. The texts are fixed values."""
     return (
         F.when(F.col("booking_id") == 0, "booking_id is missing or zero")
         .when(F.col("price") < 0, "price is negative")
-        .when(~booking_is_valid() | F.col("booking_id").isNull() | F.col("price").isNull(),
-              "unknown validation error")
+        .otherwise("unknown validation error")
     )
 
 
@@ -238,11 +239,11 @@ def bookings_dead_letters(raw: DataFrame, failed_at: datetime | str | Column | N
         loaded_at=F.date_format("loaded_at", written),
         run_id=F.col("run_id"),
     )
-    return raw.where(booking_error().isNotNull()).select(
+    return raw.where(booking_is_invalid()).select(
         "booking_id",
         record.alias("raw_record"),
         booking_error().alias("error_reason"),
-        F.date_trunc("millisecond", _now(failed_at)).alias("failed_at"),
+        instant(failed_at).alias("failed_at"),
     )
 
 
@@ -250,4 +251,4 @@ def split_bookings(
     raw: DataFrame, failed_at: datetime | str | Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Valid bookings, and the dead letters of the others."""
-    return raw.where(booking_error().isNull()), bookings_dead_letters(raw, failed_at)
+    return raw.where(booking_is_valid()), bookings_dead_letters(raw, failed_at)

@@ -352,8 +352,9 @@ def dlq_replay_messages(spark, root):
 @query
 def dlq_after_replay(spark, root):
     """The dead letters after one replay into a folder."""
-    sink = scratch_dir(spark, "replayed")
-    after = replay.replay_dlq(_aged_letters(spark, root), sink, as_of=AS_OF)
+    base = scratch_dir(spark, "replay")
+    _aged_letters(spark, root).write.parquet(f"{base}/dlq")
+    after = replay.replay_dlq(spark.read.parquet(f"{base}/dlq"), f"{base}/topic", as_of=AS_OF)
     return after.select("event_id", "failed_at", "recovered", "replay_count", "replayed", "replayed_at")
 
 

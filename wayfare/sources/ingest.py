@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.lenient import settle
-from wayfare.functions.times import booking_ts
+from wayfare.functions.times import booking_ts, instant
 from wayfare.plans.validation import validate_ads
 
 ORDERS_TOPIC = "orders.public.orders"
@@ -22,15 +22,6 @@ BOOKING_RECORD = (
 AD_FIELDS = ("platform", "campaign_id", "campaign_name", "impressions", "clicks", "spend")
 
 
-def moment(value: datetime | str | Column | None) -> Column:
-    """A timestamp column in whole milliseconds; the query's own start time if none is given."""
-    if value is None:
-        value = F.current_timestamp()
-    elif not isinstance(value, Column):
-        value = F.lit(value)
-    return F.date_trunc("millisecond", value.cast("timestamp"))
-
-
 def ingest_bookings(records: DataFrame, run_id: str | Column, loaded_at: datetime | str | Column) -> DataFrame:
     """Booking records as raw rows of one run: creation text cleaned, lineage columns added."""
     run = run_id if isinstance(run_id, Column) else F.lit(run_id)
@@ -43,7 +34,7 @@ def ingest_bookings(records: DataFrame, run_id: str | Column, loaded_at: datetim
         "price",
         "currency",
         booking_ts(F.col("created_at")).try_cast("timestamp").alias("created_at"),
-        moment(loaded_at).alias("loaded_at"),
+        instant(loaded_at).alias("loaded_at"),
         run.alias("run_id"),
     )
 
@@ -61,7 +52,7 @@ def ingest_ads(messages: DataFrame, loaded_at: datetime | str | Column, mode: st
         "impressions",
         "spend",
         "platform",
-        moment(loaded_at).alias("loaded_at"),
+        instant(loaded_at).alias("loaded_at"),
     )
 
 
@@ -87,7 +78,7 @@ def archive_payload(
             F.lit(platform).alias("source"),
             F.lit(platform.replace("_", "-")).alias("endpoint"),
             "payload",
-            moment(fetched_at).alias("fetched_at"),
+            instant(fetched_at).alias("fetched_at"),
         )
     )
 
@@ -103,17 +94,18 @@ def unpack_payload(archive: DataFrame, schema: str) -> DataFrame:
 def read_envelopes(changes: DataFrame) -> DataFrame:
     """Change messages (JSON text in ``value``) taken apart once; ``readable`` marks JSON objects.
 
-    The images stay JSON text. A missing image is the text ``null``.
+    The images stay JSON text. A missing image is the text ``null``. The text is read as the first
+    element of an array, the second one tells whether anything followed the object.
     """
-    envelope = F.from_json(
-        "value",
-        "op string, before string, after string, ts_ms string, _corrupt string",
-        {"columnNameOfCorruptRecord": "_corrupt"},
-    )
+    mark = F.xxhash64("value")
+    text = F.concat(F.lit("["), F.col("value"), F.lit(',{"_end":'), mark.cast("string"), F.lit("}]"))
+    envelope = "array<struct<op string, before string, after string, ts_ms string, _end bigint>>"
+    read = F.from_json(text, envelope, {"allowSingleQuotes": "false"})
     image = {name: F.coalesce(F.col(f"_e.{name}"), F.lit("null")) for name in ("before", "after")}
-    return settle(changes, _e=envelope).select(
+    whole = F.when(F.get(F.col("_read"), F.lit(1))["_end"] == mark, F.get(F.col("_read"), F.lit(0)))
+    return settle(settle(changes, _read=read), _e=whole).select(
         *changes.columns,
-        (F.col("_e").isNotNull() & F.col("_e._corrupt").isNull()).alias("readable"),
+        F.col("_e").isNotNull().alias("readable"),
         F.col("_e.op").alias("op"),
         image["before"].alias("before_record"),
         image["after"].alias("after_record"),
@@ -138,6 +130,6 @@ def cdc_to_raw(
             "after_record",
             F.lit(topic).alias("source_topic"),
             "source_ts_ms",
-            moment(ingested_at).alias("ingested_at"),
+            instant(ingested_at).alias("ingested_at"),
         )
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfare.functions.lenient import settle
+
 ORDERS_INGESTED = "2024-03-01 00:00:00"
 LATE_COPY = "2024-02-15 00:00:00"
 EVENTS_TOPIC = "user.events"
@@ -212,12 +214,12 @@ def _image() -> Column:
 
 def raw_cdc_orders(spark: SparkSession, root: str) -> DataFrame:
     """The order changes as raw change rows with JSON images."""
-    gone = F.col("op") == "d"
-    return order_changes(spark, root).select(
+    gone, image = F.col("op") == "d", F.col("image")
+    return settle(order_changes(spark, root), image=_image()).select(
         "order_id",
         "op",
-        F.when(F.col("op").isin("u", "d"), _image()).otherwise("null").alias("before_record"),
-        F.when(gone, "null").otherwise(_image()).alias("after_record"),
+        F.when(F.col("op").isin("u", "d"), image).otherwise("null").alias("before_record"),
+        F.when(gone, "null").otherwise(image).alias("after_record"),
         F.lit("orders").alias("source_topic"),
         "source_ts_ms",
         F.lit(ORDERS_INGESTED).cast("timestamp").alias("ingested_at"),

@@ -229,7 +229,7 @@ def test_three_replays_are_the_limit(spark):
 def test_recoveries(spark):
     dlq = letters(spark, letter(ID.format(1), "{}", 5), letter(ID.format(1), "{}", 50), letter(ID.format(2), "{}", 5), letter(None, "{}", 5))
     log = spark.createDataFrame(
-        [(ID.format(1), T0 + timedelta(minutes=10)), (ID.format(1), T0 + timedelta(minutes=20))], "event_id string, recovered_at timestamp"
+        [(ID.format(1), T0 + timedelta(minutes=10)), (ID.format(1), T0 + timedelta(minutes=20))], "event_id string, ingested_at timestamp"
     )
     got = [(r.event_id, r.failed_at.minute, r.recovered, r.recovered_at) for r in replay.apply_recoveries(dlq, log).collect()]
     assert sorted(got, key=repr) == sorted(

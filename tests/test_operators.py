@@ -28,7 +28,13 @@ def test_latest_reduces_a_hot_key_before_the_shuffle(spark, rows):
     newest = O.latest_by(hot, ["k"], ["v"])
     assert newest.where("k = 0").head().v == 39999
     plan = newest._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    assert "partial_max" in plan.split("Exchange", 1)[1]
+
+
+def test_latest_keeps_columns_that_cannot_be_compared(spark):
+    frame = spark.sql("SELECT 1 AS k, v, map('v', v) AS m FROM VALUES (1), (3), (2) AS t(v)")
+    row = O.latest_by(frame, ["k"], ["v"]).head()
+    assert (row.v, row.m) == (3, {"v": 3})
 
 
 def test_duplicate_keys(spark, rows):
@@ -77,3 +83,43 @@ def test_flags_change_only_the_named_keys(spark, rows):
     changed = O.update_flags(frame, ids, "id", {"n": F.col("n") + 1, "done": F.lit(True)})
     assert changed.columns == frame.columns and changed.dtypes == frame.dtypes
     assert rows(changed) == [("a", 1, True), ("b", 1, False), (None, 2, False)]
+
+
+def test_rows_without_a_key_are_spread(spark, rows):
+    frame = spark.range(2000).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("n"))
+    values = spark.createDataFrame([("a", 1)], "k string, v int")
+    joined = O.left_lookup(frame, values, "k")
+    assert joined.count() == 2000 and joined.where("v IS NOT NULL").count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = O.left_lookup(frame, values, "k").groupBy(F.spark_partition_id()).count()
+        assert spread.agg(F.max("count")).head()[0] < 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_a_hot_lookup_key_is_split(spark):
+    small = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        hot = spark.range(0, 90000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+            F.uuid().alias("text"), F.lit(False).alias("done"),
+        )
+        ids = spark.createDataFrame([("hot",), ("7",), ("hot",)], "k string")
+        marked = O.update_flags(hot, ids, "k", {"done": F.lit(True)}).groupBy("done").agg(F.count("*"), F.max("text"))
+        assert {r.done: r[1] for r in marked.collect()} == {True: 30001, False: 59999}
+        assert "skew=true" in marked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

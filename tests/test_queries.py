@@ -66,8 +66,8 @@ def test_checks_read_the_table_once(spark):
 
 def test_high_water_mark_reaches_the_scan(spark):
     query = QUERIES["incremental_bookings"](spark, SMALL)._jdf.queryExecution()
-    scan = next(line for line in query.executedPlan().toString().splitlines() if "FileScan" in line)
-    assert "GreaterThan(l_shipdate,ScalarSubquery" in scan
+    plan = spark._jvm.PythonSQLUtils.explainString(query, "formatted")
+    assert "GreaterThan(l_shipdate,ScalarSubquery" in plan
 
 
 def test_only_needed_columns_are_read(spark):

@@ -42,14 +42,14 @@ class Places:
     def __init__(self, base):
         self.landing = base / "landing"
         self.raw, self.dlq, self.checkpoint = (str(base / name) for name in ("raw", "dlq", "checkpoint"))
-        self.recovered, self.metrics, self.fallback = (str(base / name) for name in ("recovered", "metrics", "fallback"))
+        self.metrics, self.fallback = (str(base / name) for name in ("metrics", "fallback"))
 
 
 def run_events(spark, places, **options):
     stream = stream_source(spark, "file", path=str(places.landing), maxFilesPerTrigger="1")
     query = start_user_events(
         stream, places.raw, places.dlq, places.checkpoint,
-        recovered=places.recovered, metrics=places.metrics, fallback=places.fallback,
+        metrics=places.metrics, fallback=places.fallback,
         trigger=ONCE, sleep=lambda seconds: None, **options,
     )
     query.awaitTermination()
@@ -72,7 +72,7 @@ def test_events_are_routed_and_a_restart_adds_nothing(spark, tmp_path, rows):
     counts = batches.read_batches(spark, places.metrics).agg(F.sum("received"), F.sum("processed"), F.sum("dlq"))
     assert tuple(counts.head()) == (7, 5, 2)
     # the refused event got through later
-    after = replay.apply_recoveries(dlq, batches.read_batches(spark, places.recovered))
+    after = replay.apply_recoveries(dlq, batches.read_batches(spark, places.raw))
     assert rows(after, "event_id", "recovered") == [(uid(2), True), (None, False)]
 
 
@@ -93,7 +93,7 @@ def test_stream_equals_batch(spark, tmp_path, rows):
 def test_a_failing_write_is_tried_again_and_files_each_row_once(spark, tmp_path, rows):
     places = Places(tmp_path)
     land(places.landing, "a", [event(1), event(2)])
-    failures = iter([True, True, False, False, False, False])
+    failures = iter([True, True, False, False, False])
 
     def flaky(df, path, batch_id):
         writers.write_batch(df, path, batch_id)
@@ -155,7 +155,7 @@ def test_replayed_letters_come_back_through_the_stream(spark, tmp_path, rows):
     assert rows(spark.read.parquet(table), "event_id", "replay_count") == [(uid(1), 1), (uid(2), 1)]
     run_events(spark, places)
     assert rows(batches.read_batches(spark, places.raw), "event_id") == [(uid(1),)]
-    recovered = replay.apply_recoveries(spark.read.parquet(table), batches.read_batches(spark, places.recovered))
+    recovered = replay.apply_recoveries(spark.read.parquet(table), batches.read_batches(spark, places.raw))
     assert rows(recovered, "event_id", "recovered") == [(uid(1), True), (uid(2), False)]
 
 

@@ -1,13 +1,14 @@
 """DataFrame operators the plans are built from."""
 
 from wayfare.operators.incremental import after_high_water, upsert_latest
-from wayfare.operators.keyed import duplicate_keys, latest_by, update_flags
+from wayfare.operators.keyed import duplicate_keys, latest_by, left_lookup, update_flags
 from wayfare.operators.rows import to_long, top_k, union_all
 
 __all__ = [
     "after_high_water",
     "duplicate_keys",
     "latest_by",
+    "left_lookup",
     "to_long",
     "top_k",
     "union_all",

@@ -409,9 +409,8 @@ FROM (SELECT *, event_id IN (SELECT event_id FROM delivered WHERE event_id LIKE
         ),
         "dlq_after_recovery": _with(
             """
-SELECT event_id, failed_at, extract(minute FROM failed_at) % 2 = 0 AS recovered,
-       CASE WHEN extract(minute FROM failed_at) % 2 = 0 THEN failed_at + INTERVAL 1 HOUR END AS recovered_at
-FROM letters""",
+SELECT event_id, failed_at, hit AS recovered, CASE WHEN hit THEN failed_at + INTERVAL 1 HOUR END AS recovered_at
+FROM (SELECT *, extract(minute FROM failed_at) % 2 = 0 AND event_id LIKE '00000000-%' AS hit FROM letters)""",
             "letters",
         ),
         "cdc_raw_rows": _with(

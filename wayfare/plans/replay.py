@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions import lenient
 from wayfare.functions.times import instant
-from wayfare.operators import top_k, update_flags
+from wayfare.operators import left_lookup, top_k, update_flags
 from wayfare.plans.validation import EVENT_TYPES, USER_EVENTS_TOPIC, is_uuid
 
 BATCH = 20
@@ -80,18 +80,20 @@ def mark_recovered(dlq: DataFrame, succeeded: DataFrame, at: datetime | str | Co
     )
 
 
-def apply_recoveries(dlq: DataFrame, recoveries: DataFrame) -> DataFrame:
-    """Dead letters with the recoveries a stream has logged as ``(event_id, recovered_at)``.
+def apply_recoveries(dlq: DataFrame, succeeded: DataFrame, at: str = "ingested_at") -> DataFrame:
+    """Dead letters marked recovered by the events that got through: the raw event table.
 
-    A recovery concerns the letters that had failed by then; the last one counts.
+    An event recovers the letters that had failed by the time ``at`` it came in; the last one
+    counts. Reading the marks off the raw table spares the stream a rewrite per batch. Events
+    whose id is no UUID mark nothing.
     """
-    last = recoveries.groupBy("event_id").agg(F.max("recovered_at").alias("_at"))
+    last = succeeded.where(is_uuid(F.col("event_id"))).groupBy("event_id").agg(F.max(at).alias("_at"))
     hit = F.col("_at") >= F.col("failed_at")
     changed = {
         "recovered": F.col("recovered") | F.coalesce(hit, F.lit(False)),
         "recovered_at": F.when(hit, F.col("_at")).otherwise(F.col("recovered_at")),
     }
-    return dlq.join(last, "event_id", "left").select(
+    return left_lookup(dlq, last, "event_id").select(
         *[changed[name].alias(name) if name in changed else F.col(name) for name in dlq.columns]
     )
 

@@ -13,7 +13,6 @@ from pyspark.sql.streaming import StreamingQuery
 from wayfare.plans.validation import (
     USER_EVENTS_TOPIC,
     dead_letters,
-    is_uuid,
     normalize_user_event,
     validate_user_events,
 )
@@ -30,7 +29,6 @@ def start_user_events(
     checkpoint: str,
     *,
     topic: str = USER_EVENTS_TOPIC,
-    recovered: str | None = None,
     fallback: str | None = None,
     metrics: str | None = None,
     arrived_at: Column | None = None,
@@ -40,10 +38,10 @@ def start_user_events(
 ) -> StreamingQuery:
     """Start the event query over a stream with the message text in ``value``.
 
-    Per micro-batch: valid events go to ``raw``, refused ones to ``dlq``; the ids of valid events
-    to ``recovered`` (see ``apply_recoveries``); one row of counts to ``metrics``. If the dead
-    letters cannot be written even after retries, they go to ``fallback`` as JSON lines. Every
-    write is filed under the batch number, so a repeated batch replaces itself.
+    Per micro-batch: valid events go to ``raw``, refused ones to ``dlq``, one row of counts to
+    ``metrics``. If the dead letters cannot be written even after retries, they go to ``fallback``
+    as JSON lines. Every write is filed under the batch number, so a repeated batch replaces
+    itself. Which letters have recovered since is read off ``raw``: see ``apply_recoveries``.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -59,11 +57,6 @@ def start_user_events(
                     raise
                 log.exception("dead letters of batch %d go to %s", batch_id, fallback)
                 letters.write.mode("overwrite").json(f"{fallback.rstrip('/')}/batch_id={batch_id}")
-            if recovered is not None:
-                ids = valid.where(is_uuid(F.col("event_id"))).groupBy("event_id").agg(
-                    F.max("ingested_at").alias("recovered_at")
-                )
-                with_backoff(lambda: write(ids, recovered, batch_id), sleep=sleep)
             if metrics is not None:
                 counts = event_counts(checked)
                 with_backoff(lambda: write(counts, metrics, batch_id), sleep=sleep)

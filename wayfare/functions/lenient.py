@@ -33,17 +33,32 @@ INT_TEXT = r"^\s*[+-]?\d+(_\d+)*(\.0+)?\s*\z"
 FLOAT_TEXT = r"^\s*[+-]?(\d+(_\d+)*\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z"
 
 
-def parse_whole(text: Column) -> Column:
-    """The one JSON document a text consists of as a VARIANT; NULL if it is anything else.
+def parse_whole(df: DataFrame, into: str, text: Column) -> DataFrame:
+    """Add the one JSON document a text consists of as a VARIANT; NULL if it is anything else.
 
     The JSON readers stop after the first document and would not see what follows it. So the text
     is read as the first element of an array whose second one shows that the end was reached.
     """
     mark = F.xxhash64(text)
-    read = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]")))
-    return F.when(
-        F.try_variant_get(read, "$[1]", "bigint") == mark, F.try_variant_get(read, "$[0]", "variant")
-    )
+    marked = F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]"))
+    read = settle(df, _read=F.try_parse_json(marked), _mark=mark)
+    ended = F.try_variant_get("_read", "$[1]", "bigint") == F.col("_mark")
+    whole = F.when(ended, F.try_variant_get("_read", "$[0]", "variant"))
+    return read.withColumn(into, whole).drop("_read", "_mark")
+
+
+def read_whole(df: DataFrame, into: str, text: Column, fields: str) -> DataFrame:
+    """Add the one JSON object a text consists of, its fields read as texts; NULL if it is not one.
+
+    Cheaper than ``parse_whole``, but the kind of a field is lost.
+    """
+    mark = F.xxhash64(text)
+    marked = F.concat(F.lit("["), text, F.lit(',{"_end":'), mark.cast("string"), F.lit("}]"))
+    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    array = F.from_json(marked, f"array<struct<{fields}, _end bigint>>", strict)
+    read = settle(df, _read=array, _mark=mark)
+    ended = F.get("_read", F.lit(1))["_end"] == F.col("_mark")
+    return read.withColumn(into, F.when(ended, F.get("_read", F.lit(0)))).drop("_read", "_mark")
 
 
 def take(df: DataFrame, document: str, fields: Sequence[str]) -> DataFrame:

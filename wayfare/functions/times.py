@@ -62,11 +62,15 @@ def epoch_time(number: Column) -> Column:
     )
 
 
+def usual_time(text: Column) -> Column:
+    """Timestamp of text in the usual form, as most messages have it; NULL otherwise."""
+    return F.when(text.rlike(USUAL_TIME), F.date_trunc("second", text.try_cast("timestamp")))
+
+
 def event_time_utc(text: Column) -> Column:
     """Event time text (ISO-8601 or an epoch number) as a UTC timestamp in whole seconds."""
-    usual = F.date_trunc("second", text.try_cast("timestamp"))
     return (
-        F.when(text.rlike(USUAL_TIME), usual)
+        F.when(text.rlike(USUAL_TIME), usual_time(text))
         .when(text.rlike(EPOCH_NUMBER), epoch_time(text.try_cast("double")))
         .otherwise(iso_time(text))
     )

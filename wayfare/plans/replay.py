@@ -35,7 +35,7 @@ def encode_for_replay(picked: DataFrame) -> DataFrame:
     """
     names = ("event_id", "user_id", "event_type", "event_time", "properties", "device_type")
     renamed = picked.select(F.col("event_id").alias("dead_id"), "raw_event")
-    parsed = lenient.settle(renamed, _v=lenient.parse_whole(F.col("raw_event")))
+    parsed = lenient.parse_whole(renamed, "_v", F.col("raw_event"))
     fields = lenient.take(parsed, "_v", names)
     # From the message text, which keeps the keys in their order.
     written = F.get_json_object("raw_event", "$.properties")

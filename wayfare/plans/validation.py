@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions import lenient
 from wayfare.functions.jsontext import plain_number, to_json_strings
-from wayfare.functions.times import instant
+from wayfare.functions.times import instant, usual_time
 
 USER_EVENTS_TOPIC = "user.events.avro"
 
@@ -34,30 +34,63 @@ def is_uuid(text: Column) -> Column:
     return F.coalesce(text.rlike(UUID_TEXT), F.lit(False))
 
 
+def _plain_events(messages: DataFrame) -> DataFrame:
+    """Add ``_plain``: the fields of a message that is valid and written in the usual way.
+
+    Every field must have a text that no JSON number, literal or object could have where a text
+    is required, so nothing is lost by reading all of them as texts. NULL for other messages.
+    """
+    fields = "event_id string, user_id string, event_type string, event_time string, properties string"
+    read = lenient.read_whole(messages, "_m", F.col("value"), fields)
+    opened = lenient.read_whole(read, "_p", F.col("_m.properties"), "route string")
+    dated = lenient.settle(opened, _time=usual_time(F.col("_m.event_time")))
+    usual = (
+        is_uuid(F.col("_m.event_id"))
+        & F.col("_m.user_id").rlike(r"^\d{1,18}\z")
+        & F.col("_m.event_type").isin(*EVENT_TYPES)
+        & F.col("_time").isNotNull()
+        & F.col("_p.route").rlike(r"^\p{L}")
+        & ~F.col("_p.route").isin("true", "false")
+    )
+    plain = F.struct(
+        F.col("_m.event_id").alias("event_id"),
+        F.col("_m.user_id").try_cast("bigint").alias("user_id"),
+        F.col("_m.event_type").alias("event_type"),
+        F.col("_time").alias("event_time"),
+        F.col("_p.route").alias("route"),
+    )
+    return lenient.settle(dated, _plain=F.when(usual, plain)).select(*messages.columns, "_plain")
+
+
 def validate_user_events(messages: DataFrame) -> DataFrame:
     """User-event messages (JSON text in ``value``) with typed fields and ``violations``.
 
     ``violations`` lists ``(field, error)``; it is empty for an accepted event. ``properties``
-    may be an object or the JSON text of one. Unknown fields are ignored. The message is parsed
-    once, and no message text can fail the job.
+    may be an object or the JSON text of one. Unknown fields are ignored. No message text can
+    fail the job. Valid messages in the usual form are read the cheap way; only the others are
+    taken apart field by field.
     """
     names = ("event_id", "user_id", "event_type", "event_time", "properties")
-    fields = lenient.take(lenient.settle(messages, _v=lenient.parse_whole(F.col("value"))), "_v", names)
-    written = lenient.parse_whole(F.col("_properties_text"))
-    opened = lenient.settle(
-        fields,
-        _object=F.when(F.col("_properties_kind") == "STRING", written).otherwise(F.col("_properties")),
-    )
+    sorted_out = _plain_events(messages)
+    unusual = F.when(F.col("_plain").isNull(), F.col("value"))
+    fields = lenient.take(lenient.parse_whole(sorted_out, "_v", unusual), "_v", names)
+    opened = lenient.parse_whole(fields, "_written", F.col("_properties_text"))
+    is_text = F.col("_properties_kind") == "STRING"
+    opened = opened.withColumn("_object", F.when(is_text, F.col("_written")).otherwise(F.col("_properties")))
     routed = lenient.take(opened, "_object", ["route"]).withColumn(
         "_object_kind", F.regexp_extract(F.schema_of_variant("_object"), "^[A-Z]+", 0)
     )
+
+    def value(name: str, unusual: Column) -> Column:
+        return F.when(F.col("_plain").isNotNull(), F.col(f"_plain.{name}")).otherwise(unusual)
+
     values = lenient.settle(
         routed,
-        event_id=lenient.text_value("event_id"),
-        user_id=lenient.int_value("user_id"),
-        event_type=lenient.choice_value("event_type", EVENT_TYPES),
-        event_time=lenient.time_value("event_time"),
-        route=lenient.text_value("route"),
+        event_id=value("event_id", lenient.text_value("event_id")),
+        user_id=value("user_id", lenient.int_value("user_id")),
+        event_type=value("event_type", lenient.choice_value("event_type", EVENT_TYPES)),
+        event_time=value("event_time", lenient.time_value("event_time")),
+        route=value("route", lenient.text_value("route")),
     )
     bad_object = (
         F.when(F.col("_properties").isNull(), lenient.MISSING)
@@ -153,7 +186,7 @@ def check_ads(messages: DataFrame) -> DataFrame:
     A missing metric is 0; a metric that is present must be a number and not negative. Names
     are trimmed and must not be blank. Unknown fields are ignored.
     """
-    fields = lenient.take(lenient.settle(messages, _v=lenient.parse_whole(F.col("value"))), "_v", AD_COLUMNS)
+    fields = lenient.take(lenient.parse_whole(messages, "_v", F.col("value")), "_v", AD_COLUMNS)
     values = lenient.settle(
         fields,
         platform=lenient.choice_value("platform", PLATFORMS),

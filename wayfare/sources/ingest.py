@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.functions.lenient import settle
+from wayfare.functions.lenient import read_whole, settle
 from wayfare.functions.times import booking_ts, instant
 from wayfare.plans.validation import validate_ads
 
@@ -94,18 +94,14 @@ def unpack_payload(archive: DataFrame, schema: str) -> DataFrame:
 def read_envelopes(changes: DataFrame) -> DataFrame:
     """Change messages (JSON text in ``value``) taken apart once; ``readable`` marks JSON objects.
 
-    The images stay JSON text. A missing image is the text ``null``. The text is read as the first
-    element of an array, the second one tells whether anything followed the object.
+    The images stay JSON text. A missing image is the text ``null``.
     """
-    mark = F.xxhash64("value")
-    text = F.concat(F.lit("["), F.col("value"), F.lit(',{"_end":'), mark.cast("string"), F.lit("}]"))
-    envelope = "array<struct<op string, before string, after string, ts_ms string, _end bigint>>"
-    read = F.from_json(text, envelope, {"allowSingleQuotes": "false"})
+    fields = "op string, before string, after string, ts_ms string"
     image = {name: F.coalesce(F.col(f"_e.{name}"), F.lit("null")) for name in ("before", "after")}
-    whole = F.when(F.get(F.col("_read"), F.lit(1))["_end"] == mark, F.get(F.col("_read"), F.lit(0)))
-    return settle(settle(changes, _read=read), _e=whole).select(
+    opened = read_whole(changes, "_e", F.col("value"), fields)
+    return settle(opened, readable=F.col("_e").isNotNull()).select(
         *changes.columns,
-        F.col("_e").isNotNull().alias("readable"),
+        "readable",
         F.col("_e.op").alias("op"),
         image["before"].alias("before_record"),
         image["after"].alias("after_record"),

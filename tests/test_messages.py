@@ -265,3 +265,43 @@ def test_against_the_contract_library(spark):
         moment = expected.event_time
         moment = moment - moment.utcoffset() if moment.tzinfo else moment
         assert row.user_id == expected.user_id and row.event_time == moment.replace(microsecond=0, tzinfo=None)
+
+
+def test_the_cheap_way_and_the_thorough_way_agree(spark, monkeypatch):
+    """Messages put together at random get the same verdict and values whichever way they are read."""
+    import random
+
+    pick = random.Random(7)
+    pools = {
+        "event_id": [ID.format(1), ID.format(2).upper(), "plain", 5, 5.5, None, True, "5", ["x"], ""],
+        "user_id": [1, "2", " 3 ", 4.0, "5.0", 5.5, -1, "x", None, True, 10**18, 10**19, "007"],
+        "event_type": ["search_performed", "booking_started", "payment_completed", "other", 1, None],
+        "event_time": ["2024-05-24T12:00:00Z", "2024-05-24T12:00:00.5+02:00", "2024-02-30T12:00:00Z", "2024-05-24", 17e8, "17", None, "x"],
+        "properties": [
+            {"route": "R1"}, '{"route":"R1"}', {"route": "true"}, {"route": True}, {"route": 5}, {"route": "5"}, {}, "5", 5,
+            "{", '{"route":"é"} x', [{"route": "R1"}], '[{"route":"R1"}]', {"route": {"a": 1}}, '{"route":"a","route":7}', None,
+            {"route": "", "x": 1}, '{"route":"nan"}', {"route": "NaN"},
+        ],
+        "extra": [1, {"event_id": "x"}, None],
+    }
+    messages = []
+    for _ in range(3000):
+        message = dict(GOOD)
+        for field in pick.sample(sorted(pools), pick.choice([0, 1, 1, 1, 2, 6])):
+            if pick.random() < 0.1:
+                message.pop(field, None)
+            else:
+                message[field] = pick.choice(pools[field])
+        text = json.dumps(message, ensure_ascii=pick.random() < 0.5)
+        messages.append(pick.choice([text] * 12 + [text + " ", text + "x", text[:-1], "[" + text + "]", text + text]))
+    frame = texts(spark, *messages)
+    quick = validation.validate_user_events(frame).collect()
+    kind = "struct<event_id:string,user_id:bigint,event_type:string,event_time:timestamp,route:string>"
+    taken = validation._plain_events(frame).where("_plain IS NOT NULL").count()
+    monkeypatch.setattr(validation, "_plain_events", lambda df: df.withColumn("_plain", F.lit(None).cast(kind)))
+    thorough = validation.validate_user_events(frame).collect()
+    assert 300 < taken < 2500
+    for a, b in zip(quick, thorough):
+        assert a.violations == b.violations, a.value
+        if not a.violations:
+            assert a == b, a.value

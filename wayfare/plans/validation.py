@@ -117,7 +117,7 @@ def validate_user_events(messages: DataFrame) -> DataFrame:
         "event_type",
         "event_time",
         "route",
-        F.try_variant_get("_event_id", "$", "string").alias("stated_id"),
+        F.coalesce("event_id", F.try_variant_get("_event_id", "$", "string")).alias("stated_id"),
         "violations",
     )
 

@@ -175,10 +175,10 @@ def broken(is_json: Column, good: Column, rules: dict[str, Column]) -> Column:
 
     ``good`` must hold exactly if no rule is broken; the rules are then not looked at.
     """
-    unreadable = F.array(F.struct(F.lit("$").alias("field"), F.lit(NOT_JSON).alias("error")))
-    found = [
-        F.when(error.isNotNull(), F.struct(F.lit(name).alias("field"), error.alias("error")))
-        for name, error in rules.items()
-    ]
     nothing = F.array().cast("array<struct<field:string,error:string>>")
-    return F.when(good, nothing).when(is_json, F.array_compact(F.array(*found))).otherwise(unreadable)
+
+    def one(name: str, error: Column) -> Column:
+        return F.array(F.struct(F.lit(name).alias("field"), error.alias("error")))
+
+    found = [F.when(error.isNotNull(), one(name, error)).otherwise(nothing) for name, error in rules.items()]
+    return F.when(good, nothing).when(is_json, F.concat(*found)).otherwise(one("$", F.lit(NOT_JSON)))

@@ -5,9 +5,11 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL
+from wayfare import oracles
+from wayfare import queries as registered
 
 TABLES = ("lineitem", "orders", "part", "events")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registered.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +26,7 @@ def plain(rows):
 
 def test_every_query_has_its_statement():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -66,3 +66,34 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x *= np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
     return x
+
+
+#: Words of the bitmap below: 2**18 longs, so what is broadcast has the same size for any input.
+BITMAP_WORDS = 1 << 18
+
+
+def _bit(key: Column) -> tuple[Column, Column]:
+    place = F.pmod(key, F.lit(BITMAP_WORDS * 64))
+    return F.shiftright(place, 6), place % 64
+
+
+def may_be_in(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
+    """Rows whose key may be among the wanted ones: loses none of them and most of the others.
+
+    Keys are hashed into a bitmap of fixed size, which is broadcast. It saves a shuffle of what
+    cannot match; if very many keys are wanted, it lets more rows pass, and the join that
+    follows is right all the same.
+    """
+    word, bit = _bit(F.xxhash64(F.col(wanted_key)))
+    bitmap = (
+        wanted.select(word.alias("_word"), bit.cast("int").alias("_b"))
+        .groupBy("_word")
+        .agg(F.bit_or(F.expr("shiftleft(1L, _b)")).alias("_bits"))
+    )
+    word, bit = _bit(F.xxhash64(F.col(key)))
+    return (
+        df.withColumns({"_word": word, "_b": bit.cast("int")})
+        .join(F.broadcast(bitmap), "_word")
+        .where(F.expr("shiftrightunsigned(_bits, _b) & 1L") == 1)
+        .drop("_word", "_b", "_bits")
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, neardup, packing, token_files
+from wayfare.llm import bpe, neardup, packing, rules, token_files
 from wayfare.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,9 +35,14 @@ def op5_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_host_quality_rules(spark, sf_dir):
+    verdicts = rules.judged(table(spark, sf_dir, "documents"))
+    return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_host_quality_rules": rules.SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, neardup, packing, rules, token_files
+from wayfare.llm import bpe, linededup, neardup, packing, rules, token_files
 from wayfare.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,12 @@ def op3_minhash_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark, sf_dir):
+    cleaned = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return cleaned.select("doc_id", F.col("n_lines").cast("long"), F.col("n_dropped").cast("long"), digest.alias("text_sha256"))
+
+
 def op5_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -45,4 +51,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_host_quality_rules": rules.SQL}
+    return {"op4_line_dedup": linededup.SQL, "op7_host_quality_rules": rules.SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, linededup, neardup, packing, rules, token_files, urls
+from wayfare.llm import bpe, linededup, neardup, packing, rules, spotsigs, token_files, urls
 from wayfare.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,10 @@ def op8_url_filters(spark, sf_dir):
     return urls.judged(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op9_spot_signatures(spark, sf_dir):
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 

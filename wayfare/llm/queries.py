@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, licenses, linededup, neardup, packing, rules, spotsigs, token_files, urls
+from wayfare.llm import bpe, classifier, licenses, linededup, neardup, packing, rules, spotsigs, token_files, urls
 from wayfare.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ def op5_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_co_trained_quality(spark, sf_dir):
+    scored = classifier.with_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", *classifier.SCORES, (F.col("score") >= classifier.KEEP_FROM).alias("kept"))
+
+
 def op7_host_quality_rules(spark, sf_dir):
     verdicts = rules.judged(table(spark, sf_dir, "documents"))
     return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

@@ -98,26 +98,47 @@ def _shrunk(name: str, mean: float, spread: float, per_document: float) -> Colum
     return (F.col(name) + k * mean) / (F.col("n") + k)
 
 
+def rejected_hosts(measures: DataFrame, max_rate: float = HOST_RATE) -> DataFrame:
+    """(host, rejected) of the hosts to be rejected; marked for broadcast behind a check of their number."""
+    bad = host_rates(measures).where(F.greatest(*RULES) > max_rate).select("host", F.lit(True).alias("rejected"))
+    bad = staged(bad, "rejected-hosts")
+    return F.broadcast(bad) if bad.count() <= BROADCAST_HOSTS else bad
+
+
+BASE_FAILED = f"({FEW_WORDS}) or ({REPETITION})"
+
+
 def judged(docs: DataFrame, host: str = "source", max_rate: float = HOST_RATE) -> DataFrame:
-    """Measures of every row with ``base_failed`` and ``kept``.
+    """doc_id, host and measures of every row with ``base_failed`` and ``kept``.
 
     Null and empty texts have no words and fail. Rows without a host are judged by the base rules
     alone; repeated rows are each judged and counted; an empty table gives no rows.
     """
     measures = staged(measured(docs, host), "measures")
-    bad = host_rates(measures).where(F.greatest(*RULES) > max_rate).select("host", F.lit(True).alias("rejected"))
-    bad = staged(bad, "rejected-hosts")
-    if bad.count() <= BROADCAST_HOSTS:
-        bad = F.broadcast(bad)
-    failed = F.expr(f"({FEW_WORDS}) or ({REPETITION})")
     return (
-        measures.join(bad, "host", "left")
-        .withColumn("base_failed", failed)
+        measures.join(rejected_hosts(measures, max_rate), "host", "left")
+        .withColumn("base_failed", F.expr(BASE_FAILED))
         .withColumn("kept", ~F.col("base_failed") & F.col("rejected").isNull())
         .drop("rejected")
     )
 
 
+def kept_documents(docs: DataFrame, host: str = "source", max_rate: float = HOST_RATE) -> DataFrame:
+    """The documents that ``judged`` keeps, with their own columns.
+
+    Texts are measured once for the hosts and once more where they are filtered, so that no text is shuffled.
+    """
+    bad = rejected_hosts(staged(measured(docs, host), "measures"), max_rate)
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text"):
+            found = [measure(t) for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array([m[0] >= 50 and 100 * m[4] <= 50 * m[0] for m in found], pa.bool_()))
+
+    own = docs.mapInArrow(passing, docs.schema)
+    return own.join(bad.withColumnRenamed("host", "_host"), F.col(host).cast("string") == F.col("_host"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws FROM d),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfare import functions as W
-from wayfare.functions import lenient
+from wayfare.functions import aggregates, jsontext, lenient
 
 
 def one(spark, column, **values):
@@ -132,7 +132,7 @@ def test_json_values_default_to_zero_and_empty(spark):
         W.json_uint(d, "n"), W.json_uint(d, "neg"), W.json_uint(d, "half"), W.json_uint(d, "big"),
         W.json_uint(d, "none"), W.json_str(d, "s"), W.json_str(d, "none"), W.json_float(d, "f"), W.json_float(d, "s"),
     ).collect()
-    assert tuple(got[0]) == (7, 0, 0, 0, 0, "x", "", 2.5, 0.0)
+    assert tuple(got[0]) == (7, 0, 0, None, 0, "x", "", 2.5, 0.0)
     assert {tuple(row) for row in got[1:]} == {(0, 0, 0, 0, 0, "", "", 0.0, 0.0)}
 
 
@@ -142,7 +142,9 @@ def test_json_values_default_to_zero_and_empty(spark):
         ('{"t": 1716552000123456}', datetime(2024, 5, 24, 12)),
         ('{"t": "2024-05-24T12:00:00.9Z"}', datetime(2024, 5, 24, 12)),
         ('{"t": "2024-05-24 12:00:00"}', datetime(2024, 5, 24, 12)),
-        ('{"t": -1}', datetime(1969, 12, 31, 23, 59, 59)),
+        ('{"t": -1}', None),
+        ('{"t": 1700000000000}', None),
+        ('{"t": 1700000000}', None),
         ('{"t": "soon"}', None),
         ("{}", None),
     ],
@@ -153,12 +155,44 @@ def test_json_times_take_micros_and_text(spark, text, expected):
 
 @pytest.mark.parametrize(
     "number, expected",
-    [(22.0, "22"), (22.5, "22.5"), (-0.05, "-0.05"), (12345678.9, "12345678.9"), (100.0, "100"), (0.0, "0")],
+    [(22.0, "22"), (22.5, "22.5"), (-0.05, "-0.05"), (12345678.9, "12345678.9"), (100.0, "100"), (0.0, "0"), (-1e-12, "-0.000000000001"), (1e15, "1000000000000000"), (-1e30, "-1000000000000000000000000000000"), (1e300, "1.0E300"), (float("nan"), "NaN"), (0.1 + 0.2, "0.30000000000000004")],
 )
 def test_numbers_as_plain_text(spark, number, expected):
     assert one(spark, W.plain_number(F.col("p")), p=number) == expected
 
 
+@pytest.mark.parametrize("unit, count", [("seconds", 1700000000), ("millis", 1700000000000), ("micros", 1700000000000000)])
+def test_times_count_the_stated_unit(spark, unit, count):
+    assert one(spark, jsontext.as_time(F.col("t"), unit).cast("timestamp_ntz"), t=str(count)) == datetime(2023, 11, 14, 22, 13, 20)
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [("5", 5), ("-5", 0), ("x", 0), (None, 0), ("9223372036854775807", 2**63 - 1), ("9223372036854775808", None), ("18446744073709551615", None)],
+)
+def test_ids_beyond_the_tables_are_not_one_id(spark, text, expected):
+    frame = spark.createDataFrame([(text,)], "t string")
+    assert frame.select(jsontext.as_uint(F.col("t"))).first()[0] == expected
+
+
+@pytest.mark.parametrize(
+    "amounts, total, mean",
+    [
+        ([0.00004] * 1000, 0.04, 0.00004),
+        ([2.5, 1e15, -1e15], 2.5, 2.5 / 3),
+        ([1e300, 1.0], 1e300, 5e299),
+        ([1e22, 0.000001, 3.5], 1e22, 1e22 / 3),
+        ([], 0.0, None),
+        ([None, 1.25], 1.25, 1.25),
+        ([2.5, float("inf")], float("inf"), float("inf")),
+    ],
+)
+def test_money_sums_lose_no_amount(spark, amounts, total, mean):
+    frame = spark.createDataFrame([(a,) for a in amounts], "a double").repartition(3)
+    got = frame.agg(aggregates.money_sum("a"), aggregates.money_avg("a")).first()
+    assert got[0] == pytest.approx(total) and (got[1] == mean if mean is None else got[1] == pytest.approx(mean))
+
+
 def test_json_of_strings_keeps_key_order(spark):
     made = W.to_json_strings(b=F.lit(1), a=F.lit("x"), c=F.lit(True))
     assert one(spark, made) == '{"b":"1","a":"x","c":"true"}'

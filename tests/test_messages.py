@@ -134,23 +134,40 @@ def test_bookings_from_landing_files(spark, tmp_path, rows):
     raw = ingest.ingest_bookings(landed, "run-1", "2024-01-02 03:04:05.6789")
     assert raw.columns == schemas.schema("raw_bookings").names
     assert rows(raw, "created_at", "loaded_at", "run_id") == [
-        (None, datetime(2024, 1, 2, 3, 4, 5, 678000), "run-1"),
         (datetime(2024, 1, 1, 10), datetime(2024, 1, 2, 3, 4, 5, 678000), "run-1"),
     ]
 
 
-def test_payload_archive_is_whole_and_bounded(spark, rows):
-    records = spark.range(0, 2500, 1, 3).select(
-        F.lit("meta_ads").alias("platform"), F.lit(1).cast("long").alias("campaign_id"), F.lit("c").alias("campaign_name"),
-        F.col("id").alias("impressions"), F.col("id").alias("clicks"), F.lit(0.5).alias("spend"),
-    )
-    archive = ingest.archive_payload(records, "meta_ads", T0, max_records=100)
-    assert {(r.source, r.endpoint, r.fetched_at) for r in archive.collect()} == {("meta_ads", "meta-ads", T0)}
-    assert max(len(json.loads(r.payload)) for r in archive.collect()) == 100
-    back = ingest.unpack_payload(archive, "campaign_id long, clicks long")
-    assert sorted(r.clicks for r in back.collect()) == list(range(2500))
-    one_call = ingest.archive_payload(records.coalesce(1).limit(3), "meta_ads", T0)
-    assert one_call.count() == 1
+def test_unreadable_creation_text_is_kept_as_a_dead_letter(spark):
+    record = {"booking_id": 7, "user_id": 1, "route": "A-B", "price": 22.0, "status": "paid"}
+    records = spark.createDataFrame([(json.dumps(record | {"created_at": t}),) for t in ("junk", "2024-01-01T10:00:00Z", None)], "value string")
+    records = records.select(F.from_json("value", ingest.BOOKING_RECORD).alias("r")).select("r.*")
+    (letter_,) = ingest.unreadable_bookings(records, T0).collect()
+    assert (letter_.booking_id, letter_.error_reason, letter_.failed_at) == (7, "created_at is not a time", T0)
+    assert json.loads(letter_.raw_record)["created_at"] == "junk" and json.loads(letter_.raw_record)["price"] == "22"
+    assert ingest.ingest_bookings(records, "r", T0).count() == 2
+
+
+def test_prices_that_are_not_finite_are_dead_letters(spark, rows):
+    prices = [1.5, -1.0, float("nan"), float("inf"), -1e30, None]
+    raw = spark.createDataFrame([(n + 1, p) for n, p in enumerate(prices)], "booking_id long, price double")
+    empty = {c: F.lit(None).cast("string") for c in ("user_id", "route", "transport_type", "status", "currency", "created_at", "loaded_at", "run_id")}
+    valid, letters = validation.split_bookings(raw.withColumns(empty), T0)
+    assert rows(valid, "booking_id") == [(1,)]
+    assert rows(letters, "booking_id", "error_reason") == [
+        (2, "price is negative"), (3, "price is not finite"), (4, "price is not finite"), (5, "price is negative"), (6, "unknown validation error"),
+    ]
+
+
+def test_payload_archive_has_one_row_per_call(spark, rows):
+    calls = [[{"campaign_id": 1, "clicks": n} for n in range(start, start + 500)] for start in range(0, 2500, 500)] + [[]]
+    for partitions in (1, 3, 8):
+        responses = texts(spark, *map(json.dumps, calls)).repartition(partitions)
+        archive = ingest.archive_payload(responses, "meta_ads", T0)
+        assert {(r.source, r.endpoint, r.fetched_at) for r in archive.collect()} == {("meta_ads", "meta-ads", T0)}
+        assert sorted(len(json.loads(r.payload)) for r in archive.collect()) == [0] + [500] * 5
+        back = ingest.unpack_payload(archive, "campaign_id long, clicks long")
+        assert sorted(r.clicks for r in back.collect()) == list(range(2500))
 
 
 CHANGES = [

@@ -4,6 +4,7 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from wayfare.plans import health, replay, staging, validation
@@ -12,7 +13,7 @@ from wayfare.sources import ingest, schemas, tables
 from wayfare.sources.streams import stream_source
 from wayfare.streaming import batches
 from wayfare.streaming.cdc_orders import start_cdc_orders
-from wayfare.streaming.outcomes import read_outcome_counts, start_outcome_counts, windowed_outcomes
+from wayfare.streaming.outcomes import read_outcome_counts, start_outcome_counts
 from wayfare.streaming.user_events import start_user_events
 from wayfare.streaming.versions import compact, read_newest, start_versions
 
@@ -210,17 +211,23 @@ def test_late_outcomes_count_in_the_filed_counts(spark, tmp_path, rows):
     assert counts.where("window_start = timestamp'2024-01-01 00:00:00'").head().events_count == 3
 
 
-def test_stateful_windows_close_behind_the_watermark(spark, tmp_path):
-    landing = str(tmp_path / "in")
-    outcomes(spark, (0, "failed"), (1, "failed"), (9000, "processed")).coalesce(1).write.parquet(landing)
-    stream = spark.readStream.schema("ts timestamp, outcome string").parquet(landing)
-    query = (
-        windowed_outcomes(stream).writeStream.format("parquet").option("path", str(tmp_path / "out"))
-        .option("checkpointLocation", str(tmp_path / "c")).trigger(**ONCE).start()
-    )
-    query.awaitTermination()
-    closed = spark.read.parquet(str(tmp_path / "out")).collect()
-    assert [(r.window_start, r.outcome, r.events_count) for r in closed] == [(T0, "failed", 2)]
+def test_a_fresh_checkpoint_replaces_nothing(spark, tmp_path):
+    landing, counts = str(tmp_path / "in"), str(tmp_path / "n")
+    for name, events in (("c1", [(0, "failed"), (1, "failed")]), ("c2", [(2, "dlq")])):
+        outcomes(spark, *events).coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema("ts timestamp, outcome string").parquet(landing)
+        start_outcome_counts(stream, counts, str(tmp_path / name), trigger=ONCE).awaitTermination()
+    # The second query reads all events from the start; the first one's counts stay.
+    totals = {r.outcome: r.events_count for r in read_outcome_counts(spark, counts).collect()}
+    assert totals == {"failed": 4, "dlq": 1}
+    assert len({r.batch_id for r in batches.read_batches(spark, counts).collect()}) == 2
+
+
+def test_a_table_without_batches_is_empty(spark, tmp_path):
+    empty = batches.read_batches(spark, str(tmp_path / "none"), "event_id string")
+    assert empty.columns == ["event_id", "batch_id"] and empty.count() == 0
+    with pytest.raises(AnalysisException):
+        batches.read_batches(spark, str(tmp_path / "none"))
 
 
 def test_sliding_counts_equal_the_built_in_windows(spark, rows):

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Four decimals hold the minor units of every currency. Adding decimals gives the same sum
-# in whatever order the shuffle delivers the partial sums; adding doubles does not.
+# Adding decimals gives the same sum in whatever order the shuffle delivers the partial sums; adding
+# doubles does not. Four decimals hold the minor units of every currency and are added fastest.
 MONEY = "decimal(18,4)"
+FINE = "decimal(38,15)"
 
 
 def count_if(predicate: Column) -> Column:
@@ -20,10 +21,27 @@ def distinct_count(*columns: Column | str) -> Column:
     return F.count_distinct(*columns)
 
 
+def _exactly(amount: Column, kind: str) -> Column:
+    """The amount as a decimal if that loses nothing, else NULL."""
+    decimal = amount.try_cast(kind)
+    return F.when(decimal.cast("double") == amount, decimal)
+
+
 def money_sum(amount: Column | str) -> Column:
-    """Sum of an amount as a double; 0 over no rows."""
-    amount = F.col(amount) if isinstance(amount, str) else amount
-    return F.coalesce(F.sum(amount.cast(MONEY)).cast("double"), F.lit(0.0))
+    """Sum of an amount as a double; 0 over no rows.
+
+    Amounts that are decimals of the kinds above are added exactly. All others (very large, very
+    fine, not finite) are added as doubles, so no amount is lost and none can fail the job.
+    """
+    amount = (F.col(amount) if isinstance(amount, str) else amount).cast("double")
+    plain, fine = _exactly(amount, MONEY), _exactly(amount, FINE)
+    fine = F.when(plain.isNull(), fine)
+    rest = F.when(plain.isNull() & fine.isNull(), amount)
+    # Beyond 1e23 the fine sum overflows; it is then taken as a sum of doubles.
+    fine_sum = F.try_sum(fine)
+    exact = F.when(fine_sum.isNotNull(), F.try_add(F.sum(plain).try_cast(FINE), fine_sum)).cast("double")
+    loose = F.coalesce(F.sum(plain).cast("double"), F.lit(0.0)) + F.coalesce(F.sum(fine.cast("double")), F.lit(0.0))
+    return F.coalesce(exact, loose) + F.coalesce(F.sum(rest), F.lit(0.0))
 
 
 def sum_if(amount: Column | str, predicate: Column) -> Column:

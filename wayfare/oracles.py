@@ -383,6 +383,17 @@ SELECT platform AS source, replace(platform, '_', '-') AS endpoint, TIMESTAMP '{
 FROM raw_ads""",
             "raw_ads",
         ),
+        "ads_payload_rows": _with(
+            f"""
+SELECT platform AS source, replace(platform, '_', '-') AS endpoint, TIMESTAMP '{NOW}' AS fetched_at,
+       count(*) AS n_records, min(campaign_id) AS first_campaign
+FROM raw_ads GROUP BY platform, loaded_at, campaign_id // 100""",
+            "raw_ads",
+        ),
+        "revenue_with_fine_prices": """
+SELECT l_returnflag, round(fsum(charge), 4) AS revenue, round(fsum(charge) / count(*), 6) AS mean_charge
+FROM (SELECT l_returnflag, l_extendedprice * (1 - l_discount) * (1 + l_tax) / 7 AS charge FROM lineitem)
+GROUP BY l_returnflag""",
         "events_valid": _with(
             VALID_EVENTS.replace("{extra}", ", date_trunc('millisecond', ts) AS ingested_at"), "incoming"
         ),

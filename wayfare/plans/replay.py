@@ -87,7 +87,11 @@ def apply_recoveries(dlq: DataFrame, succeeded: DataFrame, at: str = "ingested_a
     counts. Reading the marks off the raw table spares the stream a rewrite per batch. Events
     whose id is no UUID mark nothing.
     """
-    last = succeeded.where(is_uuid(F.col("event_id"))).groupBy("event_id").agg(F.max(at).alias("_at"))
+    # Only events of the letters are grouped, and only those since the first of them failed are read.
+    ids = dlq.where(is_uuid(F.col("event_id"))).select("event_id").distinct()
+    since = dlq.agg(F.min("failed_at").alias("since")).scalar()
+    later = succeeded.where(F.col(at) >= since).join(ids, "event_id", "left_semi")
+    last = later.groupBy("event_id").agg(F.max(at).alias("_at"))
     hit = F.col("_at") >= F.col("failed_at")
     changed = {
         "recovered": F.col("recovered") | F.coalesce(hit, F.lit(False)),

@@ -64,19 +64,35 @@ def stg_ads_incremental(google: DataFrame, meta: DataFrame, staged: DataFrame) -
     return upsert_latest(staged, new, ["platform", "campaign_id"], ["loaded_at"])
 
 
-def stg_orders(raw: DataFrame, legacy: bool = False) -> DataFrame:
+def _live_orders(raw: DataFrame, legacy: bool) -> DataFrame:
+    """Change records that hold an order, with its key: the raw column, or the image's where that is missing."""
+    operations = ("c", "u") if legacy else ("c", "u", "r")
+    live = raw.where(F.col("op").isin(*operations) & ~F.col("after_record").isin(*NO_IMAGE))
+    known = F.when(F.col("order_id") >= 0, F.col("order_id"))
+    key = F.col("order_id") if legacy else F.coalesce(known, json_uint(F.col("after_record"), "order_id"))
+    return live.withColumn("order_key", key)
+
+
+def refused_orders(raw: DataFrame) -> DataFrame:
+    """Change records whose order id the tables cannot hold, with the reason."""
+    refused = _live_orders(raw, legacy=False).where("order_key is null").drop("order_key")
+    return refused.withColumn("error_reason", F.lit("order_id is out of range"))
+
+
+def stg_orders(raw: DataFrame, legacy: bool = False, time_unit: str = "micros") -> DataFrame:
     """Current state of each order from its change records.
 
     Deletes are left out before ranking, so a deleted order keeps its last live state.
     ``legacy``: snapshot rows are left out too, the key is the raw column instead of the one in
-    the image, and the arrival time decides between equal source times. Only the key is read
-    from the JSON before the shuffle; the winning image is parsed after it.
+    the image, and the arrival time decides between equal source times. Only a missing key is
+    read from the JSON before the shuffle; the winning image is parsed after it. Times that are
+    numbers count ``time_unit`` since the epoch. Orders of ``refused_orders`` are left out.
     """
-    operations = ("c", "u") if legacy else ("c", "u", "r")
-    live = raw.where(F.col("op").isin(*operations) & ~F.col("after_record").isin(*NO_IMAGE))
-    key = F.col("order_id") if legacy else json_uint(F.col("after_record"), "order_id")
+    live = _live_orders(raw, legacy)
+    if not legacy:
+        live = live.where("order_key is not null")
     order = ["source_ts_ms", "ingested_at"] if legacy else ["source_ts_ms"]
-    versions = live.select(key.alias("order_key"), "after_record", "source_ts_ms", "ingested_at")
+    versions = live.select("order_key", "after_record", "source_ts_ms", "ingested_at")
     image = F.from_json("after_record", ORDER_IMAGE).alias("_o")
     newest = latest_by(versions, ["order_key"], order).select("order_key", "source_ts_ms", "after_record", image)
     order_id = json_uint(F.col("after_record"), "order_id") if legacy else F.col("order_key")
@@ -89,8 +105,8 @@ def stg_orders(raw: DataFrame, legacy: bool = False) -> DataFrame:
         as_float(F.col("_o.price")).alias("price"),
         as_text(F.col("_o.currency")).alias("currency"),
         as_uint(F.col("_o.campaign_id")).alias("campaign_id"),
-        as_time(F.col("_o.created_at")).alias("created_at"),
-        as_time(F.col("_o.updated_at")).alias("updated_at"),
+        as_time(F.col("_o.created_at"), time_unit).alias("created_at"),
+        as_time(F.col("_o.updated_at"), time_unit).alias("updated_at"),
         "source_ts_ms",
     )
 

@@ -239,13 +239,14 @@ def validate_ads(messages: DataFrame, mode: str = "fail") -> DataFrame:
 
 
 def booking_is_valid() -> Column:
-    """A key and no negative price. Plain comparisons, so the scan can use them."""
-    return (F.col("booking_id") != 0) & (F.col("price") >= 0)
+    """A key and a finite price that is not negative. Plain comparisons, so the scan can use them."""
+    return (F.col("booking_id") != 0) & (F.col("price") >= 0) & (F.col("price") < float("inf"))
 
 
 def booking_is_invalid() -> Column:
     booking_id, price = F.col("booking_id"), F.col("price")
-    return (booking_id == 0) | (price < 0) | booking_id.isNull() | price.isNull()
+    # NaN is above infinity here.
+    return (booking_id == 0) | (price < 0) | (price >= float("inf")) | booking_id.isNull() | price.isNull()
 
 
 def booking_error() -> Column:
@@ -253,6 +254,7 @@ def booking_error() -> Column:
     return (
         F.when(F.col("booking_id") == 0, "booking_id is missing or zero")
         .when(F.col("price") < 0, "price is negative")
+        .when(F.col("price") >= float("inf"), "price is not finite")
         .otherwise("unknown validation error")
     )
 

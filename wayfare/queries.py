@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wayfare.functions.aggregates import money_avg, money_sum
 from wayfare.operators import duplicate_keys, union_all
 from wayfare.plans import health, marts, metrics, quality, refresh, replay, staging, validation
 from wayfare.session import configure, scratch_dir
 from wayfare.sources import ingest, sample
 from wayfare.sources.streams import stream_source
+from wayfare.sources.sample import table
 from wayfare.streaming.batches import read_batches
 from wayfare.streaming.cdc_orders import start_cdc_orders
 from wayfare.streaming.outcomes import read_outcome_counts, start_outcome_counts
@@ -279,17 +281,43 @@ def ads_rejected(spark, root):
     return bad.select("value", F.array_join(F.col("violations.field"), ",").alias("fields"))
 
 
+def _archived_calls(spark, root):
+    return union_all(*[
+        ingest.archive_payload(sample.ad_responses(spark, root, platform), platform, AS_OF)
+        for platform in ("google_ads", "meta_ads")
+    ])
+
+
 @query
 def ads_payload_archive(spark, root):
     """The campaigns of both platforms archived as calls, and taken out of the archive again."""
     record = (
         "platform string, campaign_id bigint, campaign_name string, impressions bigint, clicks bigint, spend double"
     )
-    calls = [
-        ingest.archive_payload(sample.raw_ads(spark, root, platform), platform, AS_OF, max_records=500)
-        for platform in ("google_ads", "meta_ads")
-    ]
-    return ingest.unpack_payload(union_all(*calls), record)
+    return ingest.unpack_payload(_archived_calls(spark, root), record)
+
+
+@query
+def ads_payload_rows(spark, root):
+    """The archive's own rows, one per call: how many records each holds, and the first."""
+    records = F.from_json("payload", "array<struct<campaign_id bigint>>")
+    return _archived_calls(spark, root).select(
+        "source",
+        "endpoint",
+        "fetched_at",
+        F.size(records).cast("bigint").alias("n_records"),
+        records[0]["campaign_id"].alias("first_campaign"),
+    )
+
+
+@query
+def revenue_with_fine_prices(spark, root):
+    """Line items as amounts with more than four decimals, summed per return flag."""
+    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    items = table(spark, root, "lineitem").select("l_returnflag", (charge / 7).alias("charge"))
+    return items.groupBy("l_returnflag").agg(
+        F.round(money_sum("charge"), 4).alias("revenue"), F.round(money_avg("charge"), 6).alias("mean_charge")
+    )
 
 
 @query
@@ -303,6 +331,13 @@ def _dead_letters(spark, root):
     return validation.dead_letters(checked, failed_at=F.col("ts"))
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """A frame that is read more than once, written to the shared folder."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _reason(df: DataFrame) -> DataFrame:
     """Dead letters with the reason taken apart."""
     reason = F.from_json(
@@ -361,7 +396,7 @@ def dlq_after_replay(spark, root):
 @query
 def dlq_after_recovery(spark, root):
     """The dead letters after some of their events got through an hour later."""
-    letters = _dead_letters(spark, root)
+    letters = _stored(_dead_letters(spark, root), "recovery")
     later = (F.col("failed_at") + F.expr("INTERVAL 1 HOUR")).alias("ingested_at")
     succeeded = letters.where(F.minute("failed_at") % 2 == 0).select("event_id", later)
     after = replay.apply_recoveries(letters, succeeded)

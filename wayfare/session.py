@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import atexit
+import shutil
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -45,22 +46,19 @@ def build_session(app: str = "wayfare", master: str | None = None, **conf: str)
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name below the cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only a local master may fall back to the machine's own temporary folder: on a cluster
-    the executors of another machine could not read it.
+    Without that setting, a local master writes below its warehouse and removes it at exit; a
+    cluster must name the folder, since the executors of another machine read it too.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = _local_scratch()
+        shared = _below_warehouse(spark.conf.get("spark.sql.warehouse.dir"))
     return f"{shared.rstrip('/')}/wayfare/{label}-{uuid.uuid4().hex}"
 
 
-_LOCAL: str | None = None
-
-
-def _local_scratch() -> str:
-    global _LOCAL
-    if _LOCAL is None or not os.path.isdir(_LOCAL):
-        _LOCAL = tempfile.mkdtemp(prefix="wayfare-")
-    return _LOCAL
+@lru_cache
+def _below_warehouse(warehouse: str) -> str:
+    folder = f"{warehouse.rstrip('/')}/_scratch-{uuid.uuid4().hex}"
+    atexit.register(shutil.rmtree, folder.removeprefix("file:"), ignore_errors=True)
+    return folder

@@ -65,6 +65,10 @@ def write_table(df: DataFrame, name: str, root: str) -> str:
     return path
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write a micro-batch under its number. Doing it again after a failure replaces it."""
+def write_batch(df: DataFrame, path: str, batch_id: str | int) -> None:
+    """Write a micro-batch under its name. Doing it again after a failure replaces it.
+
+    Names must differ between queries, and between a query and the same one after its checkpoint
+    was lost: see ``streaming.batches.start``.
+    """
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.functions.jsontext import plain_number, to_json_strings
 from wayfare.functions.lenient import read_whole, settle
 from wayfare.functions.times import booking_ts, instant
 from wayfare.plans.validation import validate_ads
@@ -19,13 +20,18 @@ BOOKING_RECORD = (
     "price double, currency string, created_at string"
 )
 
-AD_FIELDS = ("platform", "campaign_id", "campaign_name", "impressions", "clicks", "spend")
+
+def _created(text: Column) -> Column:
+    return booking_ts(text).try_cast("timestamp")
 
 
 def ingest_bookings(records: DataFrame, run_id: str | Column, loaded_at: datetime | str | Column) -> DataFrame:
-    """Booking records as raw rows of one run: creation text cleaned, lineage columns added."""
+    """Booking records as raw rows of one run: creation text cleaned, lineage columns added.
+
+    Records whose creation text is no time are left out: see ``unreadable_bookings``.
+    """
     run = run_id if isinstance(run_id, Column) else F.lit(run_id)
-    return records.select(
+    return records.where(F.col("created_at").isNull() | _created(F.col("created_at")).isNotNull()).select(
         "booking_id",
         "user_id",
         "route",
@@ -33,12 +39,23 @@ def ingest_bookings(records: DataFrame, run_id: str | Column, loaded_at: datetim
         "status",
         "price",
         "currency",
-        booking_ts(F.col("created_at")).try_cast("timestamp").alias("created_at"),
+        _created(F.col("created_at")).alias("created_at"),
         instant(loaded_at).alias("loaded_at"),
         run.alias("run_id"),
     )
 
 
+def unreadable_bookings(records: DataFrame, failed_at: datetime | str | Column) -> DataFrame:
+    """Dead letters of the records whose creation text is no time; the text is kept."""
+    fields = ("booking_id", "user_id", "route", "transport_type", "status", "price", "currency", "created_at")
+    return records.where(F.col("created_at").isNotNull() & _created(F.col("created_at")).isNull()).select(
+        "booking_id",
+        to_json_strings(**{name: plain_number(F.col(name)) if name == "price" else F.col(name) for name in fields}).alias("raw_record"),
+        F.lit("created_at is not a time").alias("error_reason"),
+        instant(failed_at).alias("failed_at"),
+    )
+
+
 def ingest_ads(messages: DataFrame, loaded_at: datetime | str | Column, mode: str = "fail") -> DataFrame:
     """Ad records (JSON text in ``value``) as raw rows, validated.
 
@@ -56,30 +73,16 @@ def ingest_ads(messages: DataFrame, loaded_at: datetime | str | Column, mode: st
     )
 
 
-def archive_payload(
-    records: DataFrame, platform: str, fetched_at: datetime | str | Column, max_records: int = 10_000
-) -> DataFrame:
-    """The records of one call as JSON arrays, one row per call.
+def archive_payload(responses: DataFrame, platform: str, fetched_at: datetime | str | Column) -> DataFrame:
+    """Answers of the advertising interface (JSON text in ``value``), one archived row per call.
 
-    A call longer than ``max_records`` goes on in further rows, so no row grows with the data.
-    Records are grouped with their neighbours in the scan: a group never spans two map tasks,
-    whatever the values are. Apply it to a scan (landing files), whose order is repeatable.
+    The text is kept as it came, however many records it holds; nothing is grouped or cut.
     """
-    position = F.monotonically_increasing_id()
-    numbered = records.select(
-        F.shiftright(position, 33).alias("_task"),
-        F.floor(position.bitwiseAND(F.lit((1 << 33) - 1)) / max_records).alias("_chunk"),
-        F.struct(*[name for name in AD_FIELDS if name in records.columns]).alias("_record"),
-    )
-    return (
-        numbered.groupBy("_task", "_chunk")
-        .agg(F.to_json(F.collect_list("_record")).alias("payload"))
-        .select(
-            F.lit(platform).alias("source"),
-            F.lit(platform.replace("_", "-")).alias("endpoint"),
-            "payload",
-            instant(fetched_at).alias("fetched_at"),
-        )
+    return responses.select(
+        F.lit(platform).alias("source"),
+        F.lit(platform.replace("_", "-")).alias("endpoint"),
+        F.col("value").alias("payload"),
+        instant(fetched_at).alias("fetched_at"),
     )
 
 
@@ -109,23 +112,26 @@ def read_envelopes(changes: DataFrame) -> DataFrame:
     )
 
 
-def cdc_to_raw(
-    changes: DataFrame, topic: str = ORDERS_TOPIC, ingested_at: datetime | str | Column | None = None
+def raw_changes(
+    envelopes: DataFrame, topic: str = ORDERS_TOPIC, ingested_at: datetime | str | Column | None = None
 ) -> DataFrame:
-    """Order change messages as raw rows; unreadable messages are left out."""
+    """Change messages that ``read_envelopes`` has taken apart, as raw rows; unreadable ones are left out."""
     order_id = F.coalesce(
         F.get_json_object("after_record", "$.order_id"), F.get_json_object("before_record", "$.order_id")
     )
-    return (
-        read_envelopes(changes)
-        .where("readable")
-        .select(
-            order_id.try_cast("bigint").alias("order_id"),
-            "op",
-            "before_record",
-            "after_record",
-            F.lit(topic).alias("source_topic"),
-            "source_ts_ms",
-            instant(ingested_at).alias("ingested_at"),
-        )
+    return envelopes.where("readable").select(
+        order_id.try_cast("bigint").alias("order_id"),
+        "op",
+        "before_record",
+        "after_record",
+        F.lit(topic).alias("source_topic"),
+        "source_ts_ms",
+        instant(ingested_at).alias("ingested_at"),
     )
+
+
+def cdc_to_raw(
+    changes: DataFrame, topic: str = ORDERS_TOPIC, ingested_at: datetime | str | Column | None = None
+) -> DataFrame:
+    """Order change messages as raw rows; unreadable messages are left out."""
+    return raw_changes(read_envelopes(changes), topic, ingested_at)

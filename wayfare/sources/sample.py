@@ -92,6 +92,14 @@ def raw_ads(spark: SparkSession, root: str, platform: str) -> DataFrame:
     )
 
 
+def ad_responses(spark: SparkSession, root: str, platform: str) -> DataFrame:
+    """Answers of the advertising interface: the campaigns of one load in pages, a JSON array in ``value`` each."""
+    page = F.floor(F.col("campaign_id") / 100)
+    record = F.struct("campaign_id", "platform", "campaign_name", "impressions", "clicks", "spend")
+    calls = raw_ads(spark, root, platform).groupBy("loaded_at", page.alias("page"))
+    return calls.agg(F.to_json(F.sort_array(F.collect_list(record))).alias("value")).select("value")
+
+
 def ad_messages(spark: SparkSession, root: str) -> DataFrame:
     """Campaign records as JSON text; some break a rule, some use the lenient forms."""
     rows = raw_ads(spark, root, "google_ads").unionByName(raw_ads(spark, root, "meta_ads"))

@@ -25,9 +25,4 @@ def read_table(spark: SparkSession, name: str, root: str | None = None) -> DataF
 
 def read_json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines (or JSON arrays, one file per response) under a fixed schema; nothing inferred."""
-    return spark.read.schema(schema).json(path)
-
-
-def read_json_text(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines kept as text in the column ``value``, for the validating readers."""
-    return spark.read.text(path)
+    return spark.read.schema(schema).option("allowNonNumericNumbers", False).json(path)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -40,13 +42,22 @@ def with_backoff(
 
 def start(
     stream: DataFrame,
-    handle: Callable[[DataFrame, int], None],
+    handle: Callable[[DataFrame, str], None],
     checkpoint: str,
     trigger: dict | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Start a query that hands each micro-batch to ``handle``; progress is kept in ``checkpoint``."""
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    """Start a query that hands each micro-batch and its name to ``handle``; progress is kept in ``checkpoint``.
+
+    The name joins the id that the checkpoint gives the query and the number of the batch. A
+    repeated batch has the same name; a query with a fresh checkpoint, whose numbers start
+    again, has other names and so cannot replace what is stored.
+    """
+
+    def named(batch: DataFrame, number: int) -> None:
+        handle(batch, f"{query_id(batch.sparkSession, checkpoint)}-{number}")
+
+    writer = stream.writeStream.foreachBatch(named).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     if trigger:
@@ -54,7 +65,22 @@ def start(
     return writer.start()
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id a started query has stored in its checkpoint."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"]
+    return json.loads(text)["id"]
+
+
 def read_batches(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """All rows the micro-batches have written below a path, with their ``batch_id``."""
-    reader = spark.read.schema(f"{schema}, batch_id bigint") if schema else spark.read
-    return reader.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    """All rows the micro-batches have written below a path, with their ``batch_id``.
+
+    With a schema, a table that nothing was written to yet is empty.
+    """
+    reader = spark.read.schema(f"{schema}, batch_id string") if schema else spark.read
+    try:
+        found = reader.parquet(path)
+    except AnalysisException as missing:
+        if schema is None or missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"{schema}, batch_id string")
+    return found.withColumn("batch_id", F.col("batch_id").cast("string"))

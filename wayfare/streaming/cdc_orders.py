@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wayfare.sinks.writers import write_batch
-from wayfare.sources.ingest import ORDERS_TOPIC, cdc_to_raw, read_envelopes
+from wayfare.sources.ingest import ORDERS_TOPIC, raw_changes, read_envelopes
 from wayfare.streaming.batches import start, with_backoff
 
 
@@ -23,7 +23,7 @@ def start_cdc_orders(
     metrics: str | None = None,
     arrived_at: Column | None = None,
     trigger: dict | None = None,
-    write: Callable[[DataFrame, str, int], None] = write_batch,
+    write: Callable[[DataFrame, str, str], None] = write_batch,
     sleep: Callable[[float], None] = time.sleep,
 ) -> StreamingQuery:
     """Start the change query over a stream with the message text in ``value``.
@@ -31,18 +31,27 @@ def start_cdc_orders(
     Unreadable messages are counted as failed and skipped; they never stop the query.
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        with_backoff(lambda: write(cdc_to_raw(batch, topic, arrived_at), raw, batch_id), sleep=sleep)
-        if metrics is not None:
-            counts = change_counts(batch)
-            with_backoff(lambda: write(counts, metrics, batch_id), sleep=sleep)
+    def handle(batch: DataFrame, batch_id: str) -> None:
+        envelopes = read_envelopes(batch).persist()
+        try:
+            rows = raw_changes(envelopes, topic, arrived_at)
+            with_backoff(lambda: write(rows, raw, batch_id), sleep=sleep)
+            if metrics is not None:
+                with_backoff(lambda: write(envelope_counts(envelopes), metrics, batch_id), sleep=sleep)
+        finally:
+            envelopes.unpersist()
 
     return start(stream, handle, checkpoint, trigger)
 
 
 def change_counts(batch: DataFrame) -> DataFrame:
     """Outcome counters of one batch of change messages."""
-    return read_envelopes(batch).agg(
+    return envelope_counts(read_envelopes(batch))
+
+
+def envelope_counts(envelopes: DataFrame) -> DataFrame:
+    """Outcome counters of change messages that are taken apart already."""
+    return envelopes.agg(
         F.count("*").alias("received"),
         F.count_if(F.col("readable")).alias("processed"),
         F.count_if(~F.col("readable")).alias("failed"),

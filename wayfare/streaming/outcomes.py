@@ -29,7 +29,7 @@ def start_outcome_counts(
     Counts of batches add up, so no state is kept and an event is counted however late it comes.
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: str) -> None:
         partial = outcome_counts(batch, minutes, time=time_column)
         with_backoff(lambda: write_batch(partial, counts, batch_id), sleep=sleep)
 
@@ -43,25 +43,3 @@ def read_outcome_counts(spark: SparkSession, counts: str) -> DataFrame:
         .groupBy("window_start", "window_end", "outcome")
         .agg(F.sum("events_count").alias("events_count"))
     )
-
-
-def windowed_outcomes(
-    stream: DataFrame, minutes: int = 5, slide: int | None = None, late: str = "10 minutes", time_column: str = "ts"
-) -> DataFrame:
-    """Stateful counts for a consumer that wants each window once it is complete.
-
-    The watermark bounds the state; events later than ``late`` are not counted.
-    """
-    window = F.window(time_column, f"{minutes} minutes", f"{slide or minutes} minutes")
-    return (
-        stream.withColumn(time_column, F.col(time_column).cast("timestamp"))
-        .withWatermark(time_column, late)
-        .groupBy(window.alias("window"), "outcome")
-        .agg(F.count("*").alias("events_count"))
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            "outcome",
-            "events_count",
-        )
-    )

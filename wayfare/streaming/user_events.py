@@ -33,18 +33,18 @@ def start_user_events(
     metrics: str | None = None,
     arrived_at: Column | None = None,
     trigger: dict | None = None,
-    write: Callable[[DataFrame, str, int], None] = write_batch,
+    write: Callable[[DataFrame, str, str], None] = write_batch,
     sleep: Callable[[float], None] = time.sleep,
 ) -> StreamingQuery:
     """Start the event query over a stream with the message text in ``value``.
 
     Per micro-batch: valid events go to ``raw``, refused ones to ``dlq``, one row of counts to
     ``metrics``. If the dead letters cannot be written even after retries, they go to ``fallback``
-    as JSON lines. Every write is filed under the batch number, so a repeated batch replaces
+    as JSON lines. Every write is filed under the batch's name, so a repeated batch replaces
     itself. Which letters have recovered since is read off ``raw``: see ``apply_recoveries``.
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: str) -> None:
         checked = validate_user_events(batch).persist()
         try:
             valid = normalize_user_event(checked, topic, arrived_at)
@@ -55,7 +55,7 @@ def start_user_events(
             except Exception:
                 if fallback is None:
                     raise
-                log.exception("dead letters of batch %d go to %s", batch_id, fallback)
+                log.exception("dead letters of batch %s go to %s", batch_id, fallback)
                 letters.write.mode("overwrite").json(f"{fallback.rstrip('/')}/batch_id={batch_id}")
             if metrics is not None:
                 counts = event_counts(checked)

@@ -28,7 +28,7 @@ def start_versions(
     Nothing stored is rewritten per batch, so a batch costs what it holds, not what the table holds.
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: str) -> None:
         newest = latest_by(batch, keys, version)
         with_backoff(lambda: write_batch(newest, target, batch_id), sleep=sleep)
 

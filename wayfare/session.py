@@ -20,6 +20,8 @@ RUNTIME = {
     # A hot join key feeding a window or aggregate on the same key would otherwise stay in
     # one task, because splitting it costs an extra shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Python workers get batches of bounded size, however long the rows are.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     # JSON objects with a repeated key keep the last value, as most JSON readers do.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }

@@ -11,20 +11,24 @@ from pyspark.sql import functions as F
 from wayfare.llm import classifier, linededup, neardup, packing, rules
 from wayfare.llm.common import staged, table, words_of
 from wayfare.llm.queries import tokenizer_path
+from wayfare.session import configure
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither fail a base rule nor come from a rejected host."""
+    configure(spark)
     return rules.kept_documents(docs)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier, fitted on the labelled ones among them, finds good."""
+    configure(spark)
     return classifier.kept_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that an earlier line is like; those that lose all their words so are gone."""
+    configure(spark)
     cleaned = linededup.dedup_lines(docs)
     left = (F.col("n_dropped") == 0) | (F.size(words_of(F.col("text"))) > 0)
     kinds = dict(docs.dtypes)
@@ -34,6 +38,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest doc_id, of each group of near duplicates."""
+    configure(spark)
     found = neardup.near_duplicates(docs, percent=80, rows=4)
     copies = staged(found.where(~F.col("kept")).select("doc_id").distinct(), "copies")
     return docs.join(copies, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -41,6 +46,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each span of the documents lies in sequences of 2048 tokens."""
+    configure(spark)
     return packing.pack_documents(docs, tokenizer_path())
 
 

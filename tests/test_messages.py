@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from wayfare.plans import replay, validation
+from wayfare.plans import marks, replay, validation
 from wayfare.sources import ingest, schemas, tables
 
 T0 = datetime(2024, 1, 1)
@@ -322,3 +322,29 @@ def test_the_cheap_way_and_the_thorough_way_agree(spark, monkeypatch):
         assert a.violations == b.violations, a.value
         if not a.violations:
             assert a == b, a.value
+
+
+def test_letters_that_cannot_be_sent_block_nothing(spark, tmp_path, rows):
+    dlq = letters(spark, *[letter(f"bad-{n}", "{torn", n) for n in range(20)], letter(ID.format(1), json.dumps(GOOD), 40))
+    places = [str(tmp_path / name) for name in ("marks", "outbox", "topic")]
+    for turn in range(5):
+        marks.replay_round(dlq, *places, replay_id=f"r{turn}", as_of=T0, max_replays=3)
+    marks.replay_round(dlq, *places, replay_id="r4", as_of=T0, max_replays=3)  # repeated after a failure
+    state = marks.with_state(dlq, marks.read_marks(spark, places[0]))
+    assert [(r.event_id, r.replay_count) for r in state.where("replayed").collect()] == [(ID.format(1), 2)]
+    assert {r.replay_count for r in state.where("not replayed").collect()} == {3}
+    assert spark.read.text(places[2]).distinct().count() == 1
+    assert dlq.count() == state.count()
+
+
+def test_marks_follow_what_the_sink_reports(spark, tmp_path):
+    dlq = letters(spark, letter(ID.format(1), json.dumps(GOOD), 1), letter(ID.format(2), json.dumps(GOOD), 2))
+    path = str(tmp_path / "marks")
+    assert marks.read_marks(spark, path).count() == 0
+    marks.replay_round(dlq, path, str(tmp_path / "o"), lambda messages: messages.limit(1), "one", T0)
+    state = marks.with_state(dlq, marks.read_marks(spark, path)).collect()
+    assert sorted((r.replayed, r.replay_count) for r in state) == [(False, 1), (True, 1)]
+    log = spark.createDataFrame([(ID.format(2), T0 + timedelta(minutes=2)), (ID.format(1), T0), ("x", T0 + timedelta(minutes=9))], "event_id string, ingested_at timestamp")
+    marks.mark_recoveries(dlq, path, log, "recovery-1")
+    state = marks.with_state(dlq, marks.read_marks(spark, path)).where("recovered").collect()
+    assert [(r.event_id, r.recovered_at) for r in state] == [(ID.format(2), T0 + timedelta(minutes=2))]

@@ -45,7 +45,7 @@ def test_entry(spark):
     assert top.columns == ["route", "transport_type", "total_revenue"] and top.count() == 10
 
 
-LAZY = [name for name in QUERIES if not name.startswith("stream_") and name not in ("dq_model_tests", "dlq_after_replay")]
+LAZY = [name for name in QUERIES if not name.startswith("stream_") and name not in ("dq_model_tests", "dlq_after_replay", "dlq_lifecycle")]
 
 
 @pytest.mark.parametrize("name", LAZY)

@@ -327,6 +327,16 @@ SELECT * EXCLUDE (rn) FROM (
   FROM (SELECT * FROM staged_before UNION ALL SELECT * FROM bookings_new)) WHERE rn = 1""",
             "bookings_new",
         ),
+        "incremental_dlq_bookings": _with(
+            BOOKING_LETTERS.replace(
+                "FROM raw_bookings",
+                "FROM (SELECT * FROM raw_bookings WHERE loaded_at > (SELECT max(loaded_at) FROM staged_before))",
+            ),
+            "raw_bookings",
+            "staged_before",
+        ),
+        "upsert_orders": _with("SELECT * FROM stg_orders", "stg_orders"),
+        "upsert_events": _with("SELECT * FROM stg_events", "stg_events"),
         "upsert_ads": _with("SELECT * FROM stg_ads", "stg_ads"),
         "mart_daily_bookings": _with(DAILY, "stg_bookings"),
         "mart_route_revenue": _with(ROUTES, "stg_bookings"),
@@ -418,6 +428,14 @@ SELECT event_id, failed_at, recovered, CAST(replay_count + CASE WHEN hit THEN 1
 FROM (SELECT *, event_id IN (SELECT event_id FROM delivered WHERE event_id LIKE '00000000-%') AS hit FROM letters)""",
             "letters", "delivered",
         ),
+        "dlq_lifecycle": _with(
+            f"""
+SELECT event_id, failed_at, false AS recovered, CAST(CASE WHEN place <= 40 THEN 1 ELSE 0 END AS INTEGER) AS replay_count,
+       place <= 40 AND sendable AS replayed, CASE WHEN place <= 40 AND sendable THEN TIMESTAMP '{NOW}' END AS replayed_at
+FROM (SELECT *, row_number() OVER (ORDER BY failed_at, event_id, raw_event) AS place,
+             NOT number_as_text AND event_type <> 'page_scrolled' AS sendable FROM letters)""",
+            "letters",
+        ),
         "dlq_after_recovery": _with(
             """
 SELECT event_id, failed_at, hit AS recovered, CASE WHEN hit THEN failed_at + INTERVAL 1 HOUR END AS recovered_at

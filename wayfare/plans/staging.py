@@ -114,3 +114,14 @@ def stg_orders(raw: DataFrame, legacy: bool = False, time_unit: str = "micros")
 def stg_user_events(raw: DataFrame) -> DataFrame:
     """Newest ingested copy of each event."""
     return latest_by(raw.select(*EVENT_COLUMNS), ["event_id"], ["ingested_at"])
+
+
+def stg_orders_incremental(new_changes: DataFrame, staged: DataFrame) -> DataFrame:
+    """The staged orders after the change records that came in since."""
+    return upsert_latest(staged, stg_orders(new_changes), ["order_id"], ["source_ts_ms"])
+
+
+def stg_user_events_incremental(raw: DataFrame, staged: DataFrame) -> DataFrame:
+    """The staged events after the copies ingested since came in."""
+    new = after_high_water(raw.select(*EVENT_COLUMNS), staged, "ingested_at")
+    return upsert_latest(staged, new, ["event_id"], ["ingested_at"])

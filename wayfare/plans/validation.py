@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from wayfare.functions import lenient
 from wayfare.functions.jsontext import plain_number, to_json_strings
 from wayfare.functions.times import instant, usual_time
+from wayfare.operators import after_high_water
 
 USER_EVENTS_TOPIC = "user.events.avro"
 
@@ -282,6 +283,13 @@ def bookings_dead_letters(raw: DataFrame, failed_at: datetime | str | Column | N
     )
 
 
+def new_dead_letters(
+    raw: DataFrame, staged: DataFrame, failed_at: datetime | str | Column | None = None
+) -> DataFrame:
+    """Dead letters of the bookings loaded after everything that is staged: an append repeats no old one."""
+    return bookings_dead_letters(after_high_water(raw, staged), failed_at)
+
+
 def split_bookings(
     raw: DataFrame, failed_at: datetime | str | Column | None = None
 ) -> tuple[DataFrame, DataFrame]:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from wayfare.functions.aggregates import money_avg, money_sum
 from wayfare.operators import duplicate_keys, union_all
-from wayfare.plans import health, marts, metrics, quality, refresh, replay, staging, validation
+from wayfare.plans import health, marks, marts, metrics, quality, refresh, replay, staging, validation
 from wayfare.session import configure, scratch_dir
 from wayfare.sources import ingest, sample
 from wayfare.sources.streams import stream_source
@@ -119,6 +119,31 @@ def upsert_ads(spark, root):
     return staging.stg_ads_incremental(google, meta, staged)
 
 
+@query
+def incremental_dlq_bookings(spark, root):
+    """The dead letters of what came in after a staging table that was built some time ago."""
+    raw = sample.raw_bookings(spark, root)
+    staged = staging.stg_bookings_latest(staging.valid_bookings(raw.where(F.col("loaded_at") <= sample.ntz(SPLIT_AT))))
+    return validation.new_dead_letters(raw, staged, AS_OF)
+
+
+@query
+def upsert_orders(spark, root):
+    """Orders staged up to some source time, then the later changes come in."""
+    raw = sample.raw_cdc_orders(spark, root)
+    before = F.col("source_ts_ms") <= F.unix_millis(F.lit(SPLIT_AT).cast("timestamp"))
+    staged = staging.stg_orders(raw.where(before))
+    return staging.stg_orders_incremental(refresh.newer_changes(raw, staged), staged)
+
+
+@query
+def upsert_events(spark, root):
+    """First copies staged, then the later copies come in."""
+    raw = sample.raw_user_events(spark, root)
+    staged = staging.stg_user_events(raw.where(F.col("ingested_at") < sample.ntz(sample.LATE_COPY)))
+    return staging.stg_user_events_incremental(raw, staged)
+
+
 # Marts
 
 
@@ -393,6 +418,17 @@ def dlq_after_replay(spark, root):
     return after.select("event_id", "failed_at", "recovered", "replay_count", "replayed", "replayed_at")
 
 
+@query
+def dlq_lifecycle(spark, root):
+    """The dead letters after two rounds of replay, one try each: marks are appended, letters stay."""
+    base = scratch_dir(spark, "lifecycle")
+    letters = _stored(_dead_letters(spark, root), "letters")
+    for replay_id in ("first", "second"):
+        marks.replay_round(letters, f"{base}/marks", f"{base}/outbox", f"{base}/topic", replay_id, AS_OF, max_replays=1)
+    state = marks.with_state(letters, marks.read_marks(spark, f"{base}/marks"))
+    return state.select("event_id", "failed_at", "recovered", "replay_count", "replayed", "replayed_at")
+
+
 @query
 def dlq_after_recovery(spark, root):
     """The dead letters after some of their events got through an hour later."""

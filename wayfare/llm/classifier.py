@@ -91,13 +91,12 @@ class Linear:
     weights: np.ndarray
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, penalty: float = 3.0, steps: int = 12) -> Linear:
-        """Newton's method; the penalty keeps weights finite where classes are separable."""
+    def fit(cls, x: np.ndarray, y: np.ndarray, penalty: float | np.ndarray, steps: int = 12) -> Linear:
+        """Newton's method; the penalty (for all or for each feature) keeps weights finite where classes are separable."""
         middle, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
         z = np.column_stack([np.ones(len(x)), (x - middle) / scale]).astype(np.float64)
         w = np.zeros(z.shape[1])
-        ridge = np.full(z.shape[1], penalty)
-        ridge[0] = 1e-6
+        ridge = np.append(1e-6, np.broadcast_to(penalty, x.shape[1]))
         for _ in range(steps):
             p = chance(z @ w)
             step = np.linalg.solve((z * (p * (1 - p) + 1e-6)[:, None]).T @ z + np.diag(ridge), z.T @ (y - p) - ridge * w)
@@ -129,7 +128,12 @@ class Model:
         return chance(logits[0]), chance(logits[1]), chance(both)
 
 
-def co_train(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray], held: tuple[np.ndarray, np.ndarray], held_y: np.ndarray, rounds: int = ROUNDS) -> Model:
+#: Penalties: many features that each say little get a high one, so that few labels suffice for the others.
+CONTENT_PENALTY = np.repeat([100.0, 2.0], [WORDS, SHAPES + 5])
+METADATA_PENALTY = np.repeat([30.0, 2.0], [SOURCES + LANGS, 5])
+
+
+def co_train(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray], held: tuple[np.ndarray, np.ndarray], held_y: np.ndarray, rounds: int = ROUNDS, penalties: tuple = (CONTENT_PENALTY, METADATA_PENALTY)) -> Model:
     """Both views, after they have exchanged their surest pseudo-labels over the rounds."""
     share = y.mean()
     most = {1: max(1, round(PER_ROUND * share)), 0: max(1, round(PER_ROUND * (1 - share)))}
@@ -139,7 +143,7 @@ def co_train(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple
         views = []
         for k in (0, 1):
             rows, labels = np.array(list(given[k]), int), np.array(list(given[k].values()), float)
-            views.append(Linear.fit(np.vstack([labelled[k], pool[k][rows]]) if len(rows) else labelled[k], np.append(y, labels)))
+            views.append(Linear.fit(np.vstack([labelled[k], pool[k][rows]]) if len(rows) else labelled[k], np.append(y, labels), penalties[k]))
         if round_ == rounds or not len(pool[0]):
             break
         for k in (0, 1):

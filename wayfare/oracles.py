@@ -174,7 +174,7 @@ def _with(body: str, *views: str) -> str:
     return f"WITH {heads}\n{body.strip()}" if heads else body.strip()
 
 
-MONEY = "coalesce(CAST(sum(CAST({0} AS DECIMAL(18,4))) AS DOUBLE), 0)"
+MONEY = "coalesce(CAST(sum(CAST({0} AS DECIMAL(30,8))) AS DOUBLE), 0)"
 PAID_REVENUE = MONEY.format("CASE WHEN status = 'paid' THEN price END")
 REVENUE = MONEY.format("price")
 DAILY = f"""
@@ -252,21 +252,36 @@ SELECT unnest(['searches', 'bookings', 'payments', 'search_to_booking_rate', 'bo
 }
 
 
-def _model_tests() -> str:
-    from wayfare.plans.quality import MODEL_TESTS
+# The declared column tests, written out so that a test the engine forgets is missed here.
+MODEL_CHECKS = """
+stg_bookings_latest.booking_id.not_null stg_bookings_latest.status.not_null stg_bookings_latest.booking_id.unique
+stg_ads_latest.platform.not_null stg_ads_latest.campaign_id.not_null stg_ads_latest.campaign_name.not_null
+stg_orders.order_id.not_null stg_orders.status.not_null stg_orders.price.not_null stg_orders.order_id.unique
+stg_user_events.event_id.not_null stg_user_events.user_id.not_null stg_user_events.event_type.not_null stg_user_events.event_id.unique
+mart_daily_bookings.booking_date.not_null mart_daily_bookings.total_bookings.not_null mart_daily_bookings.total_revenue.not_null
+mart_route_revenue.route.not_null mart_route_revenue.transport_type.not_null mart_route_revenue.total_bookings.not_null
+mart_route_revenue.total_revenue.not_null mart_booking_status.status.not_null mart_booking_status.total_bookings.not_null
+mart_campaign_performance.platform.not_null mart_campaign_performance.campaign_id.not_null mart_campaign_performance.spend.not_null
+mart_campaign_performance.revenue.not_null mart_orders_status.status.not_null mart_orders_status.orders_count.not_null
+mart_orders_status.total_revenue.not_null mart_route_revenue_from_orders.route.not_null
+mart_route_revenue_from_orders.orders_count.not_null mart_route_revenue_from_orders.total_revenue.not_null
+mart_user_event_funnel.event_type.not_null mart_user_event_funnel.users_count.not_null mart_user_event_funnel.events_count.not_null
+mart_booking_conversion.metric.not_null mart_booking_conversion.value.not_null mart_booking_conversion.metric.unique
+"""
+
 
+def _model_tests() -> str:
     parts = []
-    for model, (required, keys) in MODEL_TESTS.items():
+    for name in MODEL_CHECKS.split():
+        model, column, kind = name.split(".")
         body = f"({MODEL_BODIES[model].strip()})"
-        parts += [
-            f"SELECT '{model}.{column}.not_null' AS check_name, count(*) AS n FROM {body} WHERE {column} IS NULL"
-            for column in required
-        ]
-        parts += [
-            f"SELECT '{model}.{key}.unique', count(*) FROM (SELECT 1 FROM {body} WHERE {key} IS NOT NULL "
-            f"GROUP BY {key} HAVING count(*) > 1)"
-            for key in keys
-        ]
+        if kind == "not_null":
+            parts.append(f"SELECT '{name}' AS check_name, count(*) AS n FROM {body} WHERE {column} IS NULL")
+        else:
+            parts.append(
+                f"SELECT '{name}' AS check_name, count(*) AS n FROM (SELECT 1 FROM {body} WHERE {column} IS NOT NULL "
+                f"GROUP BY {column} HAVING count(*) > 1)"
+            )
     tests = "\nUNION ALL ".join(parts)
     return _with(
         f"""
@@ -363,6 +378,19 @@ FROM stg_ads""",
             "raw_bookings",
         ),
         "dq_model_tests": _model_tests(),
+        "dq_history": _with(
+            f"SELECT *, true AS stopped FROM ({_dq('raw', NOW, 'raw_bookings_freshness', 'raw_bookings')}\n"
+            f"UNION ALL {_dq('raw', EARLIER, 'raw_bookings_freshness', 'raw_bookings').strip()})",
+            "dq_rows",
+        ),
+        "stream_event_counters": _with(
+            """
+SELECT 'user_events' AS query, count(*) AS received, count(*) FILTER (WHERE fields = '') AS processed,
+       CAST(0 AS BIGINT) AS failed, count(*) FILTER (WHERE fields <> '') AS dlq FROM incoming""",
+            "incoming",
+        ),
+        "metric_route_revenue_model": _with(ROUTES, "stg_bookings"),
+        "metric_booking_status_model": _with(STATUSES, "stg_bookings"),
         "mart_dq_latest_results": _with(
             f"{_dq('raw', NOW, 'raw_bookings_freshness', 'raw_bookings')}\nUNION ALL {_dq('orders', EARLIER).strip()}",
             "dq_rows",

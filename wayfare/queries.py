@@ -253,6 +253,33 @@ def mart_dq_latest_results(spark, root):
     return marts.mart_dq_latest_results(union_all(*history))
 
 
+@query
+def dq_history(spark, root):
+    """The history after the raw suite ran twice; each run is kept although it stopped on a failed check."""
+    path = f"{scratch_dir(spark, 'dq')}/history"
+    raw = sample.raw_bookings(spark, root)
+    stopped = []
+    for at in (EARLIER, AS_OF):
+        try:
+            quality.check_and_record(raw, quality.RAW_BOOKINGS, path, at)
+        except quality.QualityError:
+            stopped.append(at)
+    return spark.read.parquet(path).withColumn("stopped", F.lit(len(stopped) == 2))
+
+
+@query
+def metric_route_revenue_model(spark, root):
+    """A metric that is bound to a model."""
+    return metrics.model_metric("route_revenue", {"mart_route_revenue": marts.mart_route_revenue(_bookings(spark, root))})
+
+
+@query
+def metric_booking_status_model(spark, root):
+    """The other metric that is bound to a model."""
+    models = {"mart_booking_status": marts.mart_booking_status(_bookings(spark, root))}
+    return metrics.model_metric("booking_status_distribution", models)
+
+
 # Validation and dead letters
 
 
@@ -545,6 +572,23 @@ def stream_user_events(spark, root):
     return staging.stg_user_events(raw).drop("ingested_at")
 
 
+@query
+def stream_event_counters(spark, root):
+    """What the event stream counts per batch, added up."""
+    base = scratch_dir(spark, "counters")
+    sample.incoming_events(spark, root).select("value").write.text(f"{base}/landing")
+    start_user_events(
+        stream_source(spark, "file", path=f"{base}/landing"),
+        f"{base}/raw",
+        f"{base}/dlq",
+        f"{base}/checkpoint",
+        metrics=f"{base}/metrics",
+        trigger=ONCE,
+    ).awaitTermination()
+    names = ("received", "processed", "failed", "dlq")
+    return read_batches(spark, f"{base}/metrics").groupBy("query").agg(*[F.sum(n).alias(n) for n in names])
+
+
 @query
 def stream_dead_letters(spark, root):
     """Refused events of the stream."""

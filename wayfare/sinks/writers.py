@@ -36,9 +36,11 @@ def write_full_refresh(df: DataFrame, path: str, keys: Sequence[str] = ()) -> No
     files = target.getFileSystem(spark._jsc.hadoopConfiguration())
     existed = files.exists(target)
     if existed and not files.rename(target, old):
-        raise OSError(f"cannot move {path} aside")
+        raise OSError(f"cannot move {path} aside; its rows are still there, the new ones are in {fresh}")
     if not files.rename(new, target):
-        raise OSError(f"cannot move the new rows to {path}")
+        back = not existed or files.rename(old, target)
+        where = path if back else stale
+        raise OSError(f"cannot move the new rows from {fresh} to {path}; the rows before are in {where}")
     if existed:
         files.delete(old, True)
 

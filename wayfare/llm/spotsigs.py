@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -111,24 +112,18 @@ def in_order(docs: DataFrame, per_bucket: int = 64, most: int = 10_000) -> DataF
     bounds = [] if low is None else sorted(set(docs.select(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], 20 * ranges)).first()[0] or [])) if ranges > 1 else []
     table = np.array(bounds, np.int64)
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("doc_id")
-            bucket = np.searchsorted(table, ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False), side="right")
-            yield pa.RecordBatch.from_arrays([ids, pa.array(bucket, pa.int64()), batch.column("text")], ["doc_id", "bucket", "text"])
+    @F.pandas_udf("long")
+    def range_of(ids: pd.Series) -> pd.Series:  # only ids go to Python, texts do not
+        return pd.Series(np.searchsorted(table, ids.to_numpy(), side="right"))
 
-    dealt = docs.select("doc_id", "text").mapInArrow(deal, "doc_id long, bucket long, text string")
-    ids = docs.select("doc_id").mapInArrow(
-        lambda batches: (b.drop_columns(["text"]) for b in deal(pa.RecordBatch.from_arrays([x.column(0), pa.nulls(x.num_rows, pa.string())], ["doc_id", "text"]) for x in batches)),
-        "doc_id long, bucket long",
-    )
+    dealt = docs.select("doc_id", "text", range_of(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("bucket"))
     # One row per range: at most ``most``.
-    firsts = ids.groupBy("bucket").agg(F.min(F.struct("doc_id")).alias("f")).orderBy("bucket").collect()
+    firsts = dealt.groupBy("bucket").agg(F.min(F.struct("doc_id")).alias("f")).orderBy("bucket").collect()
     before = {b["bucket"]: firsts[k - 1]["bucket"] for k, b in enumerate(firsts)}
     first_rows = spark.createDataFrame(
-        pa.table({"bucket": pa.array([b["bucket"] for b in firsts], pa.int64()), "first_id": pa.array([b["f"]["doc_id"] for b in firsts], pa.int64()), "to": pa.array([before[b["bucket"]] for b in firsts], pa.int64())})
+        pa.table({"first_id": pa.array([b["f"]["doc_id"] for b in firsts], pa.int64()), "to": pa.array([before[b["bucket"]] for b in firsts], pa.int64())})
     )
-    copies = dealt.join(F.broadcast(first_rows), "bucket").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
+    copies = docs.join(F.broadcast(first_rows), F.col("doc_id").eqNullSafe(F.col("first_id")))
     both = dealt.select("doc_id", "bucket", "text", F.lit(False).alias("copy")).unionByName(
         copies.select("doc_id", F.col("to").alias("bucket"), "text", F.lit(True).alias("copy"))
     )

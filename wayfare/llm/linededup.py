@@ -34,7 +34,9 @@ def _lines(docs: DataFrame) -> DataFrame:
         F.xxhash64("text").alias("row_key"),
         F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"),
     )
-    lines = source.select("id", "row_key", "line_no", words_of(F.col("line")).alias("words")).where(F.size("words") > 0)
+    # A filter on the words would be moved below their projection and split each line twice.
+    source = source.where(F.btrim("line", F.lit(" \t\n\x0b\x0c\r")) != "")
+    lines = source.select("id", "row_key", "line_no", words_of(F.col("line")).alias("words"))
     return lines.select("id", "row_key", "line_no", "words", F.xxhash64("words").alias("line"), F.size("words").alias("n"))
 
 
@@ -101,11 +103,14 @@ def earliest_alike(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFra
     """(occurrences, firsts): all lines by place, and for each distinct line the earliest place of one like it."""
     lines = _lines(docs)
     place = F.struct("id", "line_no")
-    occurrences = lines.select("id", "row_key", "line_no", "line")
-    distinct = staged(lines.groupBy("line").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("times")), "distinct-lines")
+    # Texts are split into words once for this table of hashes, and once more for the lines that need it.
+    halves = F.when(F.col("n") >= min_words, _halves()).alias("halves")
+    hashes = staged(lines.select("id", "row_key", "line_no", "line", halves), "line-hashes")
+    occurrences = hashes.drop("halves")
+    distinct = staged(hashes.groupBy("line").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("times")), "distinct-lines")
 
     long_lines = lines.where(F.col("n") >= min_words)
-    halves = long_lines.select("line", F.explode(_halves()).alias("half"))
+    halves = hashes.where("halves is not null").select("line", F.explode("halves").alias("half"))
     shared = staged(halves.groupBy("half").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high").select("half"), "shared-halves")
     sharing = staged(may_be_in(halves, "half", shared, "half").join(shared, "half").select("line").distinct(), "sharing-lines")
     found = may_be_in(long_lines, "line", sharing, "line").groupBy("line").agg(F.min(F.struct("id", "line_no", "n", "words")).alias("first"))

@@ -109,11 +109,11 @@ def earliest_alike(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFra
     occurrences = hashes.drop("halves")
     distinct = staged(hashes.groupBy("line").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("times")), "distinct-lines")
 
-    long_lines = lines.where(F.col("n") >= min_words)
     halves = hashes.where("halves is not null").select("line", F.explode("halves").alias("half"))
     shared = staged(halves.groupBy("half").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high").select("half"), "shared-halves")
     sharing = staged(may_be_in(halves, "half", shared, "half").join(shared, "half").select("line").distinct(), "sharing-lines")
-    found = may_be_in(long_lines, "line", sharing, "line").groupBy("line").agg(F.min(F.struct("id", "line_no", "n", "words")).alias("first"))
+    # No filter on the number of words: it would be moved below and split each line twice.
+    found = may_be_in(lines, "line", sharing, "line").groupBy("line").agg(F.min(F.struct("id", "line_no", "n", "words")).alias("first"))
     candidates = staged(
         found.join(sharing, "line").select("line", F.struct("first.id", "first.line_no").alias("place"), "first.n", "first.words"), "candidates"
     )

@@ -107,9 +107,12 @@ def in_order(docs: DataFrame, per_bucket: int = 64, most: int = 10_000) -> DataF
     ``copy`` marks these rows. Null ids come first; equal ids are ordered by text.
     """
     spark = docs.sparkSession
-    n, low, high = docs.agg(F.count(F.lit(1)), F.min("doc_id"), F.max("doc_id")).first()
+    n, low = docs.agg(F.count(F.lit(1)), F.min("doc_id")).first()
     ranges = max(1, min(most, n // per_bucket))
-    bounds = [] if low is None else sorted(set(docs.select(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], 20 * ranges)).first()[0] or [])) if ranges > 1 else []
+    bounds: list[int] = []
+    if ranges > 1 and low is not None:
+        shares = [k / ranges for k in range(1, ranges)]
+        bounds = sorted(set(docs.select(F.percentile_approx("doc_id", shares, 20 * ranges)).first()[0]))
     table = np.array(bounds, np.int64)
 
     @F.pandas_udf("long")

@@ -2,7 +2,6 @@ import re
 from itertools import combinations
 
 import numpy as np
-import pytest
 from helpers import ODD, SMALL, documents, prose
 
 from wayfare.llm import neardup, queries
@@ -101,14 +100,12 @@ def test_bands_bound_the_chance_of_a_miss():
         assert (1 - (percent / 100) ** rows) ** neardup.bands_for(percent, rows) <= 1e-7
 
 
-@pytest.mark.parametrize("shape", ["path", "star", "pieces", "none"])
-def test_components(spark, shape):
-    links = {
-        "path": [(i, i + 1) for i in range(60)],
-        "star": [(500, i) for i in range(300)] + [(1, 1)],
-        "pieces": [(int(a), int(b)) for a, b in np.random.default_rng(3).integers(0, 200, (120, 2))],
-        "none": [],
-    }[shape]
+def test_components_of_paths_stars_and_pieces(spark):
+    path = [(i, i + 1) for i in range(60)]
+    star = [(5000, 1000 + i) for i in range(300)] + [(1001, 1001)]
+    pieces = [(int(a), int(b)) for a, b in np.random.default_rng(3).integers(2000, 2200, (120, 2))]
+    links = path + star + pieces
     nodes = {n for link in links for n in link if link[0] != link[1]}
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == roots(nodes, [l for l in links if l[0] != l[1]])
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []

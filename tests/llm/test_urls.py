@@ -3,6 +3,7 @@ from itertools import combinations
 
 import pytest
 from helpers import SMALL
+from pyspark.sql import functions as F
 
 from wayfare.llm import queries, urls
 
@@ -94,3 +95,21 @@ def test_query(spark):
 def test_tokens(spark, url, expected):
     frame = spark.createDataFrame([(url,)], "url string")
     assert set(frame.select(urls.tokens_of(frame.url)).first()[0]) - {"label=host:"} == expected
+
+
+def test_labels_are_those_of_the_document_in_the_path(spark):
+    """A bad host whose page_ids are the doc_ids of good documents, and the other way round."""
+    endings = ("", "/", ".html", "?page=2&ref=x", "#top")
+    pages = [(k, f"http://{'bad' if k < 60 else 'fine'}.net/en/{1000 + k}{endings[k % 5]}") for k in range(120)]
+    pages += [(1000 + k, f"http://other.org/{path}") for k, path in enumerate(("", "en/x", "9" * 30, "1000x", "en/7-1000"))]
+    labels = [(1000 + k, int(k >= 60), 0) for k in range(120)] + [(k, int(k < 60), 0) for k in range(120)]
+    pages = spark.createDataFrame(pages, "page_id long, url string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rows = urls.judged(pages, labels).collect()
+    assert {r["host"] for r in rows if r["verdict"] == "block"} == {"bad.net"} and len(rows) == 125
+    assert all(r["confidence"] == 1.0 for r in rows if r["host"] == "bad.net")
+
+
+@pytest.mark.parametrize("url, doc_id", [(None, None), ("http://a.net/en/12", 12), ("http://a.net/en/12/?q=3", 12), ("http://a.net/3/12.html#4", 12), ("http://a.net/12/x", None), ("http://12", None), ("http://a.net/" + "9" * 30, None)])
+def test_document_of(spark, url, doc_id):
+    assert spark.createDataFrame([(url,)], "url string").select(urls.document_of(F.col("url"))).first()[0] == doc_id

@@ -42,6 +42,11 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), _PARTS, 2)
 
 
+def document_of(url: Column) -> Column:
+    """The doc_id of a page: the number that is the last segment of its path, an ending like ``.html`` aside; else null."""
+    return F.regexp_extract(path_of(url), r"/([0-9]+)(?:\.[A-Za-z0-9]+)?/?$", 1).try_cast("long")
+
+
 def stated(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RULES) -> Column:
     """(verdict, rule) of the longest rule that fits host or a parent domain and begins the path; else null."""
     found = F.lit(None).cast("struct<verdict:string,rule:string>")
@@ -78,13 +83,14 @@ def tokens_of(url: Column) -> Column:
 def mined_rules(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(key, items, confidence) of the token combinations that go with bad pages.
 
-    All labelled pages are transactions (a page is bad with quality 0 or toxic 1; null labels say nothing). A rule
+    All pages of labelled documents are transactions (a page is bad if its document has quality 0 or toxic 1; null labels
+    say nothing, nor do pages without a document's number in their path). A rule
     is dropped if a part of its tokens is a rule already. ``key`` is the rarest of its tokens.
     """
-    says = labels.select(F.col("doc_id").alias("page_id"), ((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("bad"))
-    says = says.where("page_id is not null").groupBy("page_id").agg(F.max("bad").alias("bad"))
+    says = labels.select("doc_id", ((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("bad"))
+    says = says.where("doc_id is not null").groupBy("doc_id").agg(F.max("bad").alias("bad"))
     items = F.concat(tokens_of(F.col("url")), F.array(F.when(F.col("bad"), F.lit(BAD)).otherwise(F.lit(GOOD))))
-    transactions = staged(pages.select("page_id", "url").join(says, "page_id").select(F.array_distinct(items).alias("items")), "transactions")
+    transactions = staged(pages.select("url", document_of(F.col("url")).alias("doc_id")).join(says, "doc_id").select(F.array_distinct(items).alias("items")), "transactions")
     schema = "key string, items array<string>, confidence double"
     spark = pages.sparkSession
     if transactions.isEmpty():
@@ -120,8 +126,8 @@ def judged(pages: DataFrame, labels: DataFrame, rules: tuple[tuple[str, str], ..
     """(page_id, host, path, rule, verdict, confidence) for every row of ``page_id``, ``url``.
 
     A stated rule that fits decides; else a URL that meets a mined rule is blocked and all others are
-    allowed. Null URLs and those without ``://`` have an empty host and path. Null page_ids are judged but not
-    learnt from; repeated rows are each judged; empty tables give no rows, and without labels nothing is mined.
+    allowed. Null URLs and those without ``://`` have an empty host and path. Pages are learnt from by the document
+    number in their path, whatever their page_id; repeated rows are each judged; empty tables give no rows, and without labels nothing is mined.
     """
     url = F.col("url")
     urls = pages.select("page_id", url, host_of(url).alias("host"), path_of(url).alias("path"), tokens_of(url).alias("tokens"))

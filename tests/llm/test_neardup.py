@@ -3,9 +3,10 @@ from itertools import combinations
 
 import numpy as np
 from helpers import ODD, SMALL, documents, prose
+from pyspark.sql import functions as F
 
 from wayfare.llm import neardup, queries
-from wayfare.llm.components import components
+from wayfare.llm.components import _state, components
 
 
 def sets_of(texts, size=5):
@@ -109,3 +110,10 @@ def test_components_of_paths_stars_and_pieces(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == roots(nodes, [l for l in links if l[0] != l[1]])
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_state_of_many_edges_does_not_overflow(spark):
+    edges = spark.range(17_600_000).select((F.col("id") + 1).alias("u"), F.col("id").alias("v"))
+    state = _state(edges)
+    assert state[0] == 17_600_000 and state == _state(edges.repartition(3))
+    assert state != _state(edges.withColumn("v", F.when(F.col("v") == 5, 4).otherwise(F.col("v"))))

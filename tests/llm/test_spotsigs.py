@@ -82,3 +82,14 @@ def test_similar_pairs_equal_brute_force(spark):
         expected = {(a, b) for (p, a), (q, b) in combinations(sorted(firsts.items(), key=lambda x: x[1]), 2) if p and q and jaccard(signs(p), signs(q)) >= threshold}
         got = spotsigs.similar(spark.createDataFrame(prints, "doc_id long, fingerprint string"), threshold).collect()
         assert {(r["a"], r["b"]) for r in got} == expected and len(got) == len(expected)
+
+
+def test_half_copies_are_alike_on_both_sides_of_any_share_of_common_words():
+    anchors = ("the", "of")
+    for seed in range(5):
+        table = prose(400, seed)  # no common word at all
+        text = " ".join(f"{w} the" if i % 5 == 0 else w for i, w in enumerate(prose(400, 100 + seed).split()))
+        own, changed = (spotsigs.signatures(t, anchors) for t in (table, spotsigs.edited(table, text)))
+        assert len(own) > 40 and spotsigs.likeness(own, changed) > 0.25
+        own, changed = (spotsigs.signatures(t, anchors) for t in (text, spotsigs.edited(text, table)))
+        assert spotsigs.likeness(own, changed) > 0.25

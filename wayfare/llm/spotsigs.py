@@ -26,6 +26,8 @@ from wayfare.llm.neardup import HASHES
 
 #: Anchors are words of at most this many letters; so many of the commonest are taken.
 ANCHOR_LETTERS, ANCHORS = 4, 120
+#: A word with no common word among so many on either side may be an anchor by its hash.
+NEARBY = 8
 #: Content words in a chain, and the distance between them in content words.
 CHAIN, DISTANCE = 2, 2
 EDGE = re.compile(rb"[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+").sub
@@ -50,7 +52,8 @@ def _anchor_hashes(anchors: tuple[str, ...]) -> np.ndarray:
 def signatures(text: str | None, anchors: tuple[str, ...], chain: int = CHAIN, distance: int = DISTANCE) -> np.ndarray:
     """The distinct signatures of a text as sorted 32-bit hashes (null and blank texts: none).
 
-    In a text where less than a sixteenth of the words are anchors, words whose hash is divisible by four are anchors too.
+    A word whose hash is divisible by four is an anchor too if no common word is among the ``NEARBY`` words on either side of
+    it, as in tables and lists. That depends on the words around it only, so texts that share a passage share its signatures.
     Chains that would run past the end take what is left, if it is one content word at least. A text with words but
     without any signature has one, of all its words.
     """
@@ -61,8 +64,10 @@ def signatures(text: str | None, anchors: tuple[str, ...], chain: int = CHAIN, d
     h = np.fromiter(map(HASHES.__getitem__, words), np.uint64, n)
     table = _anchor_hashes(anchors)
     is_anchor = table[np.minimum(np.searchsorted(table, h), len(table) - 1)] == h if len(table) else np.zeros(n, bool)
-    if 16 * int(is_anchor.sum()) < n:  # tables and lists have few common words: there, every fourth kind of word is an anchor
-        is_anchor |= h % np.uint64(4) == 0
+    upto = np.concatenate(([0], np.cumsum(is_anchor)))
+    place = np.arange(n)
+    common = upto[np.minimum(place + NEARBY + 1, n)] - upto[np.maximum(place - NEARBY, 0)]
+    is_anchor |= (common == 0) & (h % np.uint64(4) == 0)
     content = h[~is_anchor]
     at = np.flatnonzero(is_anchor)
     # The first content word after an anchor has as many content words before it as stand before the anchor.

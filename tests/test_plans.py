@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from given import SMALL
 from wayfare.plans import marts, metrics, quality, refresh, staging, validation
 from wayfare.sources import sample, schemas
 

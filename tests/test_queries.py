@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL
+from given import SMALL
 from wayfare import oracles
 from wayfare import queries as registered
 

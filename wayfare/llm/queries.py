@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, classifier, licenses, linededup, neardup, packing, rules, spotsigs, token_files, urls
+from wayfare.llm import bpe, classifier, fillmiddle, licenses, linededup, neardup, packing, rules, spotsigs, token_files, urls
 from wayfare.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,9 +64,16 @@ def op10_license_scan(spark, sf_dir):
     return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.size("licenses").cast("long").alias("n_licenses"))
 
 
+def op13_fill_in_middle(spark, sf_dir):
+    return fillmiddle.digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": linededup.SQL, "op10_license_scan": licenses.SQL, "op7_host_quality_rules": rules.SQL}
+    return {
+        "op4_line_dedup": linededup.SQL, "op7_host_quality_rules": rules.SQL, "op10_license_scan": licenses.SQL,
+        "op13_fill_in_middle": fillmiddle.SQL,
+    }

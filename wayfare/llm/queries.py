@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import bpe, classifier, fillmiddle, licenses, linededup, neardup, packing, rules, search, spotsigs, token_files, urls
+from wayfare.llm import bpe, classifier, fillmiddle, katz, licenses, linededup, neardup, packing, rules, search, spotsigs, token_files, urls
 from wayfare.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,10 @@ def op10_license_scan(spark, sf_dir):
     return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.size("licenses").cast("long").alias("n_licenses"))
 
 
+def op11_katz_scores(spark, sf_dir):
+    return katz.scored(table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark, sf_dir):
     return search.search(search.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 

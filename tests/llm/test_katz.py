@@ -129,9 +129,9 @@ def test_tables_hold_every_ngram_with_its_counts(spark, monkeypatch):
     for k, df in enumerate(model.tables, 1):
         rows = df.collect()
         stored = np.concatenate([katz.unpacked(bytes(r["counts"]), np.uint64) for r in rows])
-        grams = np.concatenate([katz.unpacked(bytes(r["grams"]), np.uint64) for r in rows])
+        grams = np.concatenate([katz.unpacked(bytes(r["grams"]), np.uint64, model._gram_bytes(k)) for r in rows])
         assert len(np.unique(grams)) == len(grams) and Counter(stored.tolist()) == Counter(counts[k].values())
-        assert all(katz.unpacked(bytes(r["sizes"]), np.uint32).sum() == len(katz.unpacked(bytes(r["grams"]), np.uint64)) for r in rows)
+        assert all(katz.unpacked(bytes(r["sizes"]), np.uint32).sum() == len(katz.unpacked(bytes(r["counts"]), np.uint64)) for r in rows)
 
 
 def test_frequent_histories_are_dealt_out(spark, monkeypatch):
@@ -139,7 +139,7 @@ def test_frequent_histories_are_dealt_out(spark, monkeypatch):
     docs = [(i, " ".join(f"the n{(i * 37 + k) % 900}" for k in range(60))) for i in range(60)]
     model = katz.model_of(documents(spark, docs), katz.folds(F.col("doc_id")), 2)
     assert model.levels[1].frequent.shares.max() > 1
-    sizes = [len(katz.unpacked(bytes(r["grams"]), np.uint64)) for r in model.tables[1].collect()]
+    sizes = [len(katz.unpacked(bytes(r["counts"]), np.uint64)) for r in model.tables[1].collect()]
     assert max(sizes) < 0.6 * sum(sizes)
     close(model.scores().collect(), expected(docs, 2)[1])
 

@@ -11,8 +11,9 @@ Each order of the model is one exchange between blocks of text and buckets of n-
    asks for the next order with them: the recursion of the model, one order at a time.
 
 A history that many tokens follow (``the``; the empty history, which is that of order one) is dealt out over several buckets, each
-of which reports its share of the history's counts. So no bucket grows with the most frequent word. N-grams and histories are
-told apart by 64-bit hashes.
+of which reports its share of the history's counts. So no bucket grows with the most frequent word. Histories are told apart by
+64-bit hashes; in the highest order, what follows in the same share of a history by 48 of its bits, as a share has some hundred
+thousand n-grams at most.
 
 Probabilities add up to one over the known tokens and one class of unknown ones, after every history.
 """
@@ -38,21 +39,38 @@ from wayfare.session import scratch_dir
 #: Order of the model, and the highest count that is discounted.
 ORDER, DISCOUNTED = 2, 5
 #: About so many tokens make a block, and so many are asked for in a bucket; buckets there are at least and at most.
-BLOCK_TOKENS, BUCKET_TOKENS = 3_000_000, 2_000_000
+BLOCK_TOKENS, BUCKET_TOKENS = 2_200_000, 2_000_000
 BUCKETS = (64, 1_000_000)
+#: Bytes of an n-gram's hash that are sent and filed: in the lower orders, whose n-grams are histories of the next, and in the highest.
+GRAM_BYTES = (8, 6)
 #: No words: the end of a text, which is a token, and what stands before its first word, which is none.
 END, START = (np.uint64(xxhash.xxh3_64_intdigest(mark)) for mark in (b" end", b" start"))
 
 
-def packed(values: np.ndarray) -> bytes:
-    """The values byte by byte (first the lowest bytes of all), compressed."""
-    return zstandard.compress(np.ascontiguousarray(values.reshape(-1, 1).view(np.uint8).T).tobytes(), 1)
+def packed(values: np.ndarray, width: int | None = None) -> bytes:
+    """The values byte by byte (first the lowest bytes of all, ``width`` bytes of each), compressed."""
+    return zstandard.compress(np.ascontiguousarray(values.reshape(-1, 1).view(np.uint8).T[:width]).tobytes(), 1)
 
 
-def unpacked(data: bytes, kind: type) -> np.ndarray:
+def unpacked(data: bytes, kind: type, width: int | None = None) -> np.ndarray:
     planes = np.frombuffer(zstandard.decompress(data), np.uint8)
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(planes.reshape(width, len(planes) // width).T).view(kind).reshape(-1)
+    size = np.dtype(kind).itemsize
+    planes = planes.reshape(width or size, len(planes) // (width or size))
+    out = np.zeros((planes.shape[1], size), np.uint8)
+    out[:, : len(planes)] = planes.T
+    return out.view(kind).reshape(-1)
+
+
+def coded(values: np.ndarray) -> bytes:
+    """Numbers of which many are equal: the different ones, and for each its place among them."""
+    different, places = np.unique(values, return_inverse=True)
+    table = packed(different)
+    return len(table).to_bytes(4, "little") + table + packed(places.astype(np.uint32))
+
+
+def decoded(data: bytes) -> np.ndarray:
+    end = 4 + int.from_bytes(data[:4], "little")
+    return unpacked(data[4:end], np.float64)[unpacked(data[end:], np.uint32)]
 
 
 BLOCK = "block long, doc_ids array<long>, sizes array<int>, held array<boolean>, words binary, tokens binary"
@@ -228,15 +246,18 @@ class Text:
         self.cuts = np.append(np.searchsorted(bucket, self.used), len(bucket))
         self.gram_cuts = np.append(0, np.cumsum(self.history_sizes))[self.cuts]
 
-    def requests(self, block: int) -> pa.Table:
+    def requests(self, block: int, gram_bytes: int) -> pa.Table:
         counts = np.bincount(self.inverse[self.training], minlength=len(self.keys)).astype(np.uint32)
         others = np.bincount(self.inverse, minlength=len(self.keys)).astype(np.uint32) - counts
         lower = self.chance[self.some] if len(self.chance) else np.zeros(len(self.keys))
         rows = []
         for k, bucket in enumerate(self.used.tolist()):
             a, b, x, y = *self.cuts[k : k + 2], *self.gram_cuts[k : k + 2]
-            listed = (self.histories[a:b], self.history_sizes[a:b].astype(np.uint32), self.keys[x:y], counts[x:y], others[x:y], lower[x:y])
-            rows.append({"bucket": bucket, "block": block} | {c: packed(v) for c, v in zip(REQUEST_PARTS, listed)})
+            listed = (
+                packed(self.histories[a:b]), packed(self.history_sizes[a:b].astype(np.uint32)), packed(self.keys[x:y], gram_bytes),
+                packed(counts[x:y]), packed(others[x:y]), coded(lower[x:y]),
+            )
+            rows.append({"bucket": bucket, "block": block} | dict(zip(REQUEST_PARTS, listed)))
         return pa.Table.from_pylist(rows, schema=REQUEST_SCHEMA)
 
     def learn(self, answers: list[dict], level: Level) -> np.ndarray:
@@ -262,21 +283,21 @@ RESULT_SCHEMA = pa.schema([("kind", pa.string()), ("bucket", pa.int64()), ("bloc
 RESULT = "kind string, bucket long, block long, histories binary, sizes binary, grams binary, counts binary, tallies binary, lower binary, numbers array<long>"
 
 
-def _bucket_rows(frequent: Frequent, often: int):
-    """Adds up the requests of a bucket; n-grams of more than ``often`` occurrences are reported."""
+def _bucket_rows(frequent: Frequent, often: int, gram_bytes: int):
+    """Adds up the requests of a bucket; below the highest order, n-grams of more than ``often`` occurrences are reported."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
         asked = rows.to_pylist()
-        grams = [unpacked(a["grams"], np.uint64) for a in asked]
+        grams = [unpacked(a["grams"], np.uint64, gram_bytes) for a in asked]
         histories = [unpacked(a["histories"], np.uint64) for a in asked]
         own = np.concatenate([np.repeat(h, unpacked(a["sizes"], np.uint32)) for h, a in zip(histories, asked)])
         every = np.concatenate(grams)
-        order, starts, inverse = grouped(every)
+        order, starts, inverse = grouped(chained(own, every))
         some = order[starts]
         total = np.add.reduceat(np.concatenate([unpacked(a["counts"], np.uint32) for a in asked])[order].astype(np.uint64), starts)
         others = np.add.reduceat(np.concatenate([unpacked(a["others"], np.uint32) for a in asked])[order].astype(np.uint64), starts)
-        lower = np.concatenate([unpacked(a["lower"], np.float64) for a in asked])[some]
+        lower = np.concatenate([decoded(a["lower"]) for a in asked])[some]
         every, own = every[some], own[some]
         by_history = np.argsort(own, kind="stable")
         known = own[by_history]
@@ -293,7 +314,7 @@ def _bucket_rows(frequent: Frequent, often: int):
         seen = counts > 0
         sizes = np.add.reduceat(seen.astype(np.uint32), first)
         out.append(
-            {"kind": "table", "histories": packed(known[sizes > 0]), "sizes": packed(sizes[sizes > 0].astype(np.uint32)), "grams": packed(every[by_history][seen]), "counts": packed(counts[seen]), "tallies": packed(tallies[:, sizes > 0].reshape(-1)), "lower": packed(sums[sizes > 0])}
+            {"kind": "table", "histories": packed(known[sizes > 0]), "sizes": packed(sizes[sizes > 0].astype(np.uint32)), "grams": packed(every[by_history][seen], gram_bytes), "counts": packed(counts[seen]), "tallies": packed(tallies[:, sizes > 0].reshape(-1)), "lower": packed(sums[sizes > 0])}
         )
         counted = np.bincount(np.minimum(total, DISCOUNTED + 2).astype(np.int64), minlength=DISCOUNTED + 3)
         out.append({"kind": "counts", "numbers": [int(total.sum()), int((total > 0).sum()), *counted[1 : DISCOUNTED + 2].tolist()]})
@@ -303,7 +324,7 @@ def _bucket_rows(frequent: Frequent, often: int):
         if len(there):
             out.append({"kind": "share", "histories": packed(owner[there].astype(np.uint64)), "tallies": packed(tallies[:, at[there]].reshape(-1)), "lower": packed(sums[at[there]])})
         common = np.flatnonzero(total + others > often)
-        if len(common):
+        if len(common) and gram_bytes == 8:
             out.append({"kind": "frequent", "grams": packed(every[common]), "counts": packed((total + others)[common])})
         return pa.Table.from_pylist([r | {"bucket": bucket} for r in out], schema=RESULT_SCHEMA)
 
@@ -363,9 +384,12 @@ class Model:
             if k < order:
                 frequent = _next_frequent(results, self.often, k, documents)
 
+    def _gram_bytes(self, order: int) -> int:
+        return GRAM_BYTES[order == self.order]
+
     def _exchange(self, requests: DataFrame, frequent: Frequent, order: int) -> DataFrame:
         path = scratch_dir(requests.sparkSession, f"ngrams-{order}")
-        rows = requests.groupBy("bucket").applyInArrow(_bucket_rows(frequent, self.often), RESULT)
+        rows = requests.groupBy("bucket").applyInArrow(_bucket_rows(frequent, self.often, self._gram_bytes(order)), RESULT)
         rows.write.partitionBy("kind").parquet(path)
         return requests.sparkSession.read.schema(RESULT).parquet(path)
 
@@ -384,21 +408,21 @@ class Model:
         return self.blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
     def _requests(self, order: int, frequent: Frequent) -> DataFrame:
-        buckets, levels = self.buckets, list(self.levels)
+        buckets, levels, gram_bytes = self.buckets, list(self.levels), self._gram_bytes(order)
 
         def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in batch.to_pylist():
                     text = Text(row)
                     text.next_order(1, frequent, buckets)
-                    yield from text.requests(row["block"]).to_batches()
+                    yield from text.requests(row["block"], gram_bytes).to_batches()
 
         def later(text: Text, answers: dict, block: int) -> pa.Table:
             for k, level in enumerate(levels, 1):
                 text.next_order(k, level.frequent, buckets)
                 text.learn(answers[k], level)
             text.next_order(order, frequent, buckets)
-            return text.requests(block)
+            return text.requests(block, gram_bytes)
 
         return self.blocks.mapInArrow(first, REQUEST) if order == 1 else self._with_answers(later, REQUEST)
 

@@ -62,11 +62,14 @@ def mart_campaign_performance(ads: DataFrame, orders: DataFrame) -> DataFrame:
     Orders are summed per campaign before the join, so the join sees one row per campaign and
     the orders without a campaign never travel as rows.
     """
-    earned = (
-        orders.where(earns())
-        .groupBy("campaign_id")
-        .agg(F.count("*").alias("_bookings"), money_sum("price").alias("_revenue"))
-        .select(F.col("campaign_id").cast("string").alias("campaign_id"), "_bookings", "_revenue")
+    earned = orders.where(earns()).groupBy("campaign_id").agg(F.count("*").alias("bookings"), money_sum("price").alias("revenue"))
+    return campaigns_with_orders(ads, earned)
+
+
+def campaigns_with_orders(ads: DataFrame, earned: DataFrame) -> DataFrame:
+    """Campaigns with what they earned: ``earned`` has campaign_id, bookings and revenue, one row per campaign."""
+    earned = earned.select(
+        F.col("campaign_id").cast("string").alias("campaign_id"), F.col("bookings").alias("_bookings"), F.col("revenue").alias("_revenue")
     )
     bookings = F.coalesce("_bookings", F.lit(0))
     revenue = F.coalesce("_revenue", F.lit(0.0))
@@ -129,6 +132,11 @@ def mart_booking_conversion(events: DataFrame, by: str = "events") -> DataFrame:
         per_type = events.groupBy("event_type").agg(distinct_count("user_id").alias("n"))
     else:
         raise ValueError(f"unknown counting unit {by!r}")
+    return conversion(per_type)
+
+
+def conversion(per_type: DataFrame) -> DataFrame:
+    """Steps and rates from a number ``n`` per event type."""
     steps = {
         name: F.coalesce(F.sum(F.when(F.col("event_type") == event_type, F.col("n"))), F.lit(0))
         for name, event_type in STEPS

@@ -47,8 +47,12 @@ def stg_bookings_incremental(raw: DataFrame, staged: DataFrame) -> DataFrame:
 
 
 def _ads(google: DataFrame, meta: DataFrame) -> DataFrame:
-    both = union_all(google, meta)
-    return both.select(*[
+    return ad_versions(union_all(google, meta))
+
+
+def ad_versions(ads: DataFrame) -> DataFrame:
+    """Campaign versions of any platform; the campaign id becomes text."""
+    return ads.select(*[
         F.col(name).cast("string").alias(name) if name == "campaign_id" else F.col(name) for name in AD_COLUMNS
     ])
 
@@ -88,13 +92,23 @@ def stg_orders(raw: DataFrame, legacy: bool = False, time_unit: str = "micros")
     read from the JSON before the shuffle; the winning image is parsed after it. Times that are
     numbers count ``time_unit`` since the epoch. Orders of ``refused_orders`` are left out.
     """
+    order = ["source_ts_ms", "ingested_at"] if legacy else ["source_ts_ms"]
+    newest = latest_by(order_versions(raw, legacy), ["order_key"], order)
+    return order_rows(newest, legacy, time_unit)
+
+
+def order_versions(raw: DataFrame, legacy: bool = False) -> DataFrame:
+    """The change records that hold an order: key, image as text, and when it changed and arrived."""
     live = _live_orders(raw, legacy)
     if not legacy:
         live = live.where("order_key is not null")
-    order = ["source_ts_ms", "ingested_at"] if legacy else ["source_ts_ms"]
-    versions = live.select("order_key", "after_record", "source_ts_ms", "ingested_at")
+    return live.select("order_key", "after_record", "source_ts_ms", "ingested_at")
+
+
+def order_rows(versions: DataFrame, legacy: bool = False, time_unit: str = "micros") -> DataFrame:
+    """Orders read off their change records, one row each; further columns stay out."""
     image = F.from_json("after_record", ORDER_IMAGE).alias("_o")
-    newest = latest_by(versions, ["order_key"], order).select("order_key", "source_ts_ms", "after_record", image)
+    newest = versions.select("order_key", "source_ts_ms", "after_record", image)
     order_id = json_uint(F.col("after_record"), "order_id") if legacy else F.col("order_key")
     return newest.select(
         order_id.alias("order_id"),

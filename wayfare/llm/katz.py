@@ -39,7 +39,7 @@ from wayfare.session import scratch_dir
 #: Order of the model, and the highest count that is discounted.
 ORDER, DISCOUNTED = 2, 5
 #: About so many tokens make a block, and so many are asked for in a bucket; buckets there are at least and at most.
-BLOCK_TOKENS, BUCKET_TOKENS = 2_200_000, 2_000_000
+BLOCK_TOKENS, BUCKET_TOKENS = 2_500_000, 2_000_000
 BUCKETS = (64, 1_000_000)
 #: Bytes of an n-gram's hash that are sent and filed: in the lower orders, whose n-grams are histories of the next, and in the highest.
 GRAM_BYTES = (8, 6)
@@ -49,7 +49,7 @@ END, START = (np.uint64(xxhash.xxh3_64_intdigest(mark)) for mark in (b" end", b"
 
 def packed(values: np.ndarray, width: int | None = None) -> bytes:
     """The values byte by byte (first the lowest bytes of all, ``width`` bytes of each), compressed."""
-    return zstandard.compress(np.ascontiguousarray(values.reshape(-1, 1).view(np.uint8).T[:width]).tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(values.reshape(-1, 1).view(np.uint8).T[:width]).tobytes(), 3)
 
 
 def unpacked(data: bytes, kind: type, width: int | None = None) -> np.ndarray:
@@ -264,7 +264,7 @@ class Text:
         """Take the answers of all buckets, in their order: sets each token's probability, and gives each one's count."""
         counts = np.concatenate([unpacked(a["counts"], np.uint64) for a in answers])
         tallies = np.concatenate([unpacked(a["tallies"], np.uint64).reshape(DISCOUNTED + 1, -1) for a in answers], axis=1)
-        lower = np.concatenate([unpacked(a["lower"], np.float64) for a in answers])
+        lower = np.concatenate([decoded(a["lower"]) for a in answers])
         among, at = level.frequent.place(self.first_of_history)
         tallies[:, among], lower[among] = level.tallies[:, at[among]], level.lower[at[among]]
         divisor, weight = level.discounts.weights(tallies, lower)
@@ -310,11 +310,11 @@ def _bucket_rows(frequent: Frequent, often: int, gram_bytes: int):
         upto = np.append(0, np.cumsum([len(g) for g in grams]))
         for k, a in enumerate(asked):
             at = np.searchsorted(known, histories[k])
-            out.append({"kind": "answer", "block": a["block"], "counts": packed(total[inverse[upto[k] : upto[k + 1]]]), "tallies": packed(tallies[:, at].reshape(-1)), "lower": packed(sums[at])})
+            out.append({"kind": "answer", "block": a["block"], "counts": packed(total[inverse[upto[k] : upto[k + 1]]]), "tallies": packed(tallies[:, at].reshape(-1)), "lower": coded(sums[at])})
         seen = counts > 0
         sizes = np.add.reduceat(seen.astype(np.uint32), first)
         out.append(
-            {"kind": "table", "histories": packed(known[sizes > 0]), "sizes": packed(sizes[sizes > 0].astype(np.uint32)), "grams": packed(every[by_history][seen], gram_bytes), "counts": packed(counts[seen]), "tallies": packed(tallies[:, sizes > 0].reshape(-1)), "lower": packed(sums[sizes > 0])}
+            {"kind": "table", "histories": packed(known[sizes > 0]), "sizes": packed(sizes[sizes > 0].astype(np.uint32)), "grams": packed(every[by_history][seen], gram_bytes), "counts": packed(counts[seen]), "tallies": packed(tallies[:, sizes > 0].reshape(-1)), "lower": coded(sums[sizes > 0])}
         )
         counted = np.bincount(np.minimum(total, DISCOUNTED + 2).astype(np.int64), minlength=DISCOUNTED + 3)
         out.append({"kind": "counts", "numbers": [int(total.sum()), int((total > 0).sum()), *counted[1 : DISCOUNTED + 2].tolist()]})

@@ -200,20 +200,20 @@ FROM (SELECT a.platform, a.campaign_id, a.campaign_name, a.spend, a.clicks, a.im
       GROUP BY ALL)"""
 
 
-def _conversion(count: str) -> str:
+def _conversion(count: str, views: bool = True) -> str:
     def step(event_type: str) -> str:
         return f"(SELECT {count} FROM stg_events WHERE event_type = '{event_type}')"
 
     s, b, p = step("search_performed"), step("booking_started"), step("payment_completed")
-    return _with(
+    body = (
         f"""
 SELECT 'searches' AS metric, CAST({s} AS DOUBLE) AS value
 UNION ALL SELECT 'bookings', CAST({b} AS DOUBLE)
 UNION ALL SELECT 'payments', CAST({p} AS DOUBLE)
 UNION ALL SELECT 'search_to_booking_rate', CASE WHEN {s} = 0 THEN 0 ELSE {b} / CAST({s} AS DOUBLE) END
-UNION ALL SELECT 'booking_to_payment_rate', CASE WHEN {b} = 0 THEN 0 ELSE {p} / CAST({b} AS DOUBLE) END""",
-        "stg_events",
+UNION ALL SELECT 'booking_to_payment_rate', CASE WHEN {b} = 0 THEN 0 ELSE {p} / CAST({b} AS DOUBLE) END"""
     )
+    return _with(body, "stg_events") if views else body
 
 
 def _dq(suite: str, at: str, fresh: str = "", view: str = "") -> str:
@@ -318,6 +318,66 @@ REPLAYED_PROPERTIES = (
 )
 
 
+def _long(mart: str, body: str, key: str, *measures: str) -> str:
+    """A mart as rows of (mart, key, measure, value)."""
+    rows = [
+        f"SELECT '{mart}' AS mart, {key} AS key, '{m}' AS measure, round(CAST({m} AS DOUBLE), 6) AS value FROM ({body.strip()})" for m in measures
+    ]
+    return "\nUNION ALL ".join(rows)
+
+
+def _delta_marts() -> dict[str, str]:
+    orders, routes = MODEL_BODIES["mart_orders_status"], MODEL_BODIES["mart_route_revenue_from_orders"]
+    bookings = (
+        _long("daily", DAILY, "CAST(booking_date AS VARCHAR)", "total_bookings", "paid_bookings", "created_bookings", "cancelled_bookings", "total_revenue"),
+        _long("route", ROUTES, "concat(route, '|', transport_type)", "total_bookings", "paid_bookings", "total_revenue"),
+        _long("status", STATUSES, "status", "total_bookings"),
+    )
+    order = (
+        _long("status", orders, "status", "orders_count", "total_revenue"),
+        _long("route", routes, "route", "orders_count", "total_revenue", "avg_order_value"),
+        _long("campaign", CAMPAIGNS, "concat(platform, '|', campaign_id)", "spend", "bookings", "revenue", "cpa", "roas"),
+    )
+    event = [_long("funnel", MODEL_BODIES["mart_user_event_funnel"], "event_type", "users_count", "events_count")]
+    for by, count in (("events", "count(*)"), ("users", "count(DISTINCT user_id)")):
+        event.append(_long(f"by {by}", _conversion(count, views=False), "metric", "value"))
+    return {
+        "delta_booking_marts": _with("\nUNION ALL ".join(bookings), "stg_bookings"),
+        "delta_order_marts": _with("\nUNION ALL ".join(order), "stg_ads", "stg_orders"),
+        "delta_event_marts": _with("\nUNION ALL ".join(event), "stg_events"),
+    }
+
+
+EPISODES = """
+WITH minutes AS (
+  SELECT 'user-events-failed-last-5m' AS alert, 'user_events' AS subject, window_end AS seen, events_count AS value, 1 AS hold, 0 AS threshold
+  FROM sliding WHERE outcome = 'failed' AND events_count > 0
+  UNION ALL
+  SELECT 'kafka-consumer-lag-high', consumer_group, TIMESTAMP '2024-02-01 00:00:00' + to_minutes(k), backlog, 2, 100
+  FROM (SELECT consumer_group, k, CAST(sum(end_offset - least(end_offset, committed_offset + 5 * k)) AS BIGINT) AS backlog
+        FROM offsets, range(0, 4) AS ks(k) GROUP BY ALL) WHERE backlog > 100),
+runs AS (
+  SELECT *, seen - to_minutes(row_number() OVER (PARTITION BY alert, subject ORDER BY seen)) AS run FROM minutes)
+SELECT alert, 'warning' AS severity, subject, min(seen) AS pending_at, min(seen) + to_minutes(any_value(hold)) AS fired_at,
+       max(seen) + INTERVAL 1 MINUTE AS resolved_at, count(*) AS minutes, max(value) AS peak, CAST(any_value(threshold) AS BIGINT) AS threshold
+FROM runs GROUP BY alert, subject, run HAVING count(*) > any_value(hold)"""
+
+EVERY_KEY = f"""
+SELECT check_name, CASE WHEN (kind = 'rows' AND v > 0) OR (kind = 'zero' AND v = 0) OR (kind = 'fresh' AND v <= 120) THEN 'PASS' ELSE 'FAIL' END AS check_status,
+       CAST(v AS DOUBLE) AS check_value, CAST(CASE kind WHEN 'rows' THEN 1 WHEN 'fresh' THEN 120 ELSE 0 END AS DOUBLE) AS check_threshold,
+       TIMESTAMP '{NOW}' AS checked_at
+FROM (
+  SELECT 'rows' AS check_name, 'rows' AS kind, count(*) AS v FROM raw_bookings
+  UNION ALL SELECT 'booking and run', 'zero', count(*) FROM (SELECT 1 FROM raw_bookings GROUP BY booking_id, run_id HAVING count(*) > 1)
+  UNION ALL SELECT 'booking', 'zero', count(*) FROM (SELECT 1 FROM raw_bookings GROUP BY booking_id HAVING count(*) > 1)
+  UNION ALL SELECT 'user and load', 'zero', count(*) FROM (SELECT 1 FROM raw_bookings GROUP BY user_id, loaded_at HAVING count(*) > 1)
+  UNION ALL SELECT 'negative prices', 'zero', count(*) FROM raw_bookings WHERE price < 0
+  UNION ALL SELECT 'freshness', 'fresh', date_diff('minute', max(loaded_at), TIMESTAMP '{NOW}') FROM raw_bookings)"""
+
+LOAD = """CASE WHEN loaded_at <= TIMESTAMP '1998-01-01 00:00:00' AND booking_id % 7 <> 3 THEN 1
+  WHEN booking_id % 5 <> 2 THEN 2 ELSE 3 END"""
+
+
 def oracle_sql() -> dict[str, str]:
     """One statement per query that SQL can express."""
     sql = {
@@ -536,5 +596,31 @@ FROM letters""",
         "stream_cdc_orders": _with("SELECT * FROM stg_orders", "stg_orders"),
         "stream_outcome_5m": _with(TUMBLING, "outcomes"),
         "stream_upsert_bookings": _with("SELECT * FROM stg_bookings", "stg_bookings"),
+        "loads_taken_in": _with(
+            f"SELECT booking_id, run_id, loaded_at, price, concat('load-', {LOAD}) AS load_id, CAST({LOAD} AS INTEGER) AS taken_in FROM raw_bookings",
+            "raw_bookings",
+        ),
+        "loads_stg_bookings": _with("SELECT * FROM stg_bookings", "stg_bookings"),
+        "loads_stg_orders": _with("SELECT * FROM stg_orders", "stg_orders"),
+        "audience_rolling_week": _with(
+            """
+SELECT event_type, last_day, count(DISTINCT user_id) AS users_count
+FROM stg_events JOIN (SELECT DISTINCT CAST(event_time AS DATE) AS last_day FROM stg_events)
+  ON CAST(event_time AS DATE) BETWEEN last_day - 6 AND last_day GROUP BY ALL""",
+            "stg_events",
+        ),
+        "alert_episodes": _with("SELECT * FROM (" + EPISODES.strip() + ")", "sliding", "offsets"),
+        "dq_every_key": _with(EVERY_KEY, "raw_bookings"),
+        "sink_appended": _with("SELECT * FROM bookings_ok", "bookings_ok"),
+        "stream_outcome_windows": _with("SELECT * FROM sliding", "sliding"),
+        "landing_bookings": _with(
+            "SELECT booking_id, user_id, route, transport_type, status, price, currency, created_at FROM raw_bookings", "raw_bookings"
+        ),
+        "landing_json_rows": _with(
+            "SELECT booking_id, user_id, route, transport_type, status, price, currency FROM raw_bookings", "raw_bookings"
+        ),
     }
+    sql |= _delta_marts()
+    sql["stream_after_failures"] = sql["stream_user_events"]
+    sql["stream_fallback_letters"] = sql["stream_dead_letters"]
     return sql

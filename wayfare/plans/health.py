@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.operators import union_all
+from wayfare.operators.islands import islands
 
 # The alert rules.
 FAILED_ALERT = "user-events-failed-last-5m"
@@ -34,6 +35,11 @@ def outcome_counts(
         raise ValueError("the window must be a multiple of the slide")
     step = F.window(time, f"{slide} minutes")["start"]
     counts = outcomes.groupBy(step.alias("window_start"), "outcome").agg(F.count("*").alias("events_count"))
+    return windows_of_slots(counts, minutes, slide)
+
+
+def windows_of_slots(counts: DataFrame, minutes: int, slide: int) -> DataFrame:
+    """Counts per window from counts per slot (``window_start``, outcome, events_count) of ``slide`` minutes."""
     if slide != minutes:
         earliest = F.col("window_start") - _minutes(minutes - slide)
         starts = F.explode(F.sequence(earliest, F.col("window_start"), _minutes(slide)))
@@ -76,19 +82,23 @@ def _held(hits: DataFrame, minutes: int) -> DataFrame:
     )
 
 
-def alerts(outcomes: DataFrame, backlog: DataFrame) -> DataFrame:
-    """Alerts that fire, one row per rule, subject and minute.
-
-    ``outcomes`` are five-minute counts sliding by one minute: failures above 0 now and the
-    minute before. ``backlog`` is sampled every minute: above 100 now and the two minutes before.
-    """
+def _hits(outcomes: DataFrame, backlog: DataFrame) -> tuple[tuple[str, DataFrame, int, int], ...]:
+    """Per rule: its name, the minutes in which its condition is true (subject, at, value), how long it must hold, its threshold."""
     failing = outcomes.where((F.col("outcome") == "failed") & (F.col("events_count") > FAILED_ABOVE)).select(
         F.lit("user_events").alias("subject"), F.col("window_end").alias("at"), F.col("events_count").alias("value")
     )
     behind = backlog.where(F.col("backlog") > BACKLOG_ABOVE).select(
         F.col("consumer_group").alias("subject"), F.col("sampled_at").alias("at"), F.col("backlog").alias("value")
     )
-    rules = ((FAILED_ALERT, failing, FAILED_FOR, FAILED_ABOVE), (BACKLOG_ALERT, behind, BACKLOG_FOR, BACKLOG_ABOVE))
+    return ((FAILED_ALERT, failing, FAILED_FOR, FAILED_ABOVE), (BACKLOG_ALERT, behind, BACKLOG_FOR, BACKLOG_ABOVE))
+
+
+def alerts(outcomes: DataFrame, backlog: DataFrame) -> DataFrame:
+    """Alerts that fire, one row per rule, subject and minute.
+
+    ``outcomes`` are five-minute counts sliding by one minute: failures above 0 now and the
+    minute before. ``backlog`` is sampled every minute: above 100 now and the two minutes before.
+    """
     return union_all(*[
         _held(hits, minutes).select(
             F.lit(name).alias("alert"),
@@ -98,5 +108,31 @@ def alerts(outcomes: DataFrame, backlog: DataFrame) -> DataFrame:
             "value",
             F.lit(threshold).cast("bigint").alias("threshold"),
         )
-        for name, hits, minutes, threshold in rules
+        for name, hits, minutes, threshold in _hits(outcomes, backlog)
+    ])
+
+
+def episodes(outcomes: DataFrame, backlog: DataFrame) -> DataFrame:
+    """Alerts as episodes: (alert, severity, subject, pending_at, fired_at, resolved_at, minutes, peak, threshold).
+
+    An episode is a run of consecutive minutes in which the condition of a rule is true. It is pending from its first minute, fires
+    when it has held as long as the rule demands, and is resolved in the first minute after its last. A minute without data
+    counts as one in which all is well, so it ends an episode. Runs that do not last until they would fire are no episodes.
+    ``minutes`` is how many minutes the condition was true, ``peak`` the greatest value in them.
+    """
+    return union_all(*[
+        islands(hits, ["subject"], "at", 60, {"peak": F.max("value")})
+        .where(F.col("steps") > minutes)
+        .select(
+            F.lit(name).alias("alert"),
+            F.lit(SEVERITY).alias("severity"),
+            "subject",
+            F.col("first").alias("pending_at"),
+            (F.col("first") + _minutes(minutes)).alias("fired_at"),
+            (F.col("last") + _minutes(1)).alias("resolved_at"),
+            F.col("steps").alias("minutes"),
+            "peak",
+            F.lit(threshold).cast("bigint").alias("threshold"),
+        )
+        for name, hits, minutes, threshold in _hits(outcomes, backlog)
     ])

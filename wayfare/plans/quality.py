@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions import count_if, minutes_between
-from wayfare.operators import duplicate_keys, union_all
 
 FRESH_MINUTES = 120
 # The statuses staged orders may have.
@@ -115,14 +114,14 @@ def _passed(check: Check, value: Column) -> Column:
 def run_suite(df: DataFrame, checks: Sequence[Check], as_of: datetime | str | Column | None = None) -> DataFrame:
     """Results of all checks of one table: name, PASS/FAIL, value, threshold, time.
 
-    The table is read once: counts, violations and the newest time are gathered per group of
-    the first uniqueness key (combined before the shuffle) and folded into one row. A further
-    uniqueness key costs one more pass. The time of an empty table is the epoch, so it is stale.
+    The table is read once and shuffled once: counts, violations and the newest time are gathered per group of
+    the uniqueness key (combined before the shuffle) and folded into one row. With several uniqueness keys, each row
+    is counted under each of them, and the other checks under the first; see ``_by_every_key``. The time of an empty table is the
+    epoch, so it is stale.
     """
     now = F.current_timestamp() if as_of is None else (as_of if isinstance(as_of, Column) else F.lit(as_of))
     now = now.cast("timestamp")
-    keyed = [check for check in checks if check.kind == "unique"]
-    keys = keyed[0].keys if keyed else ()
+    sets = list(dict.fromkeys(check.keys for check in checks if check.kind == "unique"))
     local: list[Column] = [F.count("*").alias("_rows")]
     total: dict[str, Column] = {"_rows": F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows")}
     values: dict[str, Column] = {}
@@ -131,21 +130,31 @@ def run_suite(df: DataFrame, checks: Sequence[Check], as_of: datetime | str | Co
         if check.kind == "rows":
             values[check.name] = F.col("_rows")
         elif check.kind == "violations":
-            local.append(count_if(F.expr(check.predicate)).alias(slot))
+            violates = F.expr(check.predicate)
+            # Of several copies of a row, the first is looked at; the others lack its columns.
+            violates = violates & (F.col("_set") == 0) if len(sets) > 1 else violates
+            local.append(count_if(violates).alias(slot))
             total[slot] = F.coalesce(F.sum(slot), F.lit(0)).alias(slot)
             values[check.name] = F.col(slot)
         elif check.kind == "freshness":
             local.append(F.max(F.col(check.column).cast("timestamp")).alias(slot))
             total[slot] = F.coalesce(F.max(slot), F.timestamp_seconds(F.lit(0))).alias(slot)
             values[check.name] = minutes_between(F.col(slot), now)
-        elif check.keys == keys:
-            known = [F.col(key).isNotNull() for key in keys]
+        elif len(sets) == 1:
+            known = [F.col(key).isNotNull() for key in check.keys]
             repeated = F.col("_rows") > 1
             for condition in known:
                 repeated = repeated & condition
             total[slot] = count_if(repeated).alias(slot)
             values[check.name] = F.col(slot)
-    folded = df.groupBy(*keys).agg(*local).agg(*total.values())
+        else:
+            mine = (F.col("_set") == sets.index(check.keys)) & F.col("_key").isNotNull()
+            total[slot] = count_if(mine & (F.col("_copies") > 1)).alias(slot)
+            values[check.name] = F.col(slot)
+    if len(sets) > 1:
+        folded = _by_every_key(df, sets, local).agg(*total.values())
+    else:
+        folded = df.groupBy(*(sets[0] if sets else ())).agg(*local).agg(*total.values())
 
     def result(check: Check, value: Column) -> Column:
         value = value.cast("double")
@@ -157,13 +166,27 @@ def run_suite(df: DataFrame, checks: Sequence[Check], as_of: datetime | str | Co
             now.alias("checked_at"),
         )
 
-    rows = F.array(*[result(check, values[check.name]) for check in checks if check.name in values])
-    frames = [folded.select(F.inline(rows))]
-    for check in keyed:
-        if check.keys != keys:
-            repeated = duplicate_keys(df.dropna(subset=list(check.keys)), check.keys)
-            frames.append(repeated.agg(F.count("*").alias("_n")).select(F.inline(F.array(result(check, F.col("_n"))))))
-    return union_all(*frames)
+    return folded.select(F.inline(F.array(*[result(check, values[check.name]) for check in checks])))
+
+
+def _by_every_key(df: DataFrame, sets: Sequence[tuple[str, ...]], local: Sequence[Column]) -> DataFrame:
+    """Each row under each set of key columns: (set, key, copies), and the other measures under the first set.
+
+    A key is the text of its values, so keys of any types meet in one shuffle and equal hashes are no matter. It is null if any
+    of its columns is; all rows with such keys of one set are a group, which every task folds to one row. What the other
+    measures read is there in the copies of the first set alone.
+    """
+    def text(keys: tuple[str, ...]) -> Column:
+        known = F.lit(True)
+        for key in keys:
+            known = known & F.col(key).isNotNull()
+        return F.when(known, F.to_json(F.struct(*keys)))
+
+    listed = F.array(*[F.struct(F.lit(n).alias("set"), text(keys).alias("key")) for n, keys in enumerate(sets)])
+    stacked = df.withColumn("_under", F.explode(listed)).withColumns({"_set": F.col("_under.set"), "_key": F.col("_under.key")})
+    first = stacked.select("_set", "_key", *[F.when(F.col("_set") == 0, F.col(c)).alias(c) for c in df.columns])
+    measures = [F.count("*").alias("_copies"), count_if(F.col("_set") == 0).alias("_rows"), *local[1:]]
+    return first.groupBy("_set", "_key").agg(*measures)
 
 
 def enforce(results: DataFrame) -> None:

@@ -4,20 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfare.functions.aggregates import money_avg, money_sum
 from wayfare.operators import duplicate_keys, union_all
-from wayfare.plans import health, marks, marts, metrics, quality, refresh, replay, staging, validation
+from wayfare.plans import audience, health, increments, marks, marts, metrics, quality, refresh, replay, staging, validation
 from wayfare.session import configure, scratch_dir
-from wayfare.sources import ingest, sample
-from wayfare.sources.streams import stream_source
+from wayfare.sinks.ledger import Ledger
+from wayfare.sinks.loads import published_loads, read_loads, write_load
+from wayfare.sinks.writers import write_append, write_batch
+from wayfare.sources import ingest, sample, tables
 from wayfare.sources.sample import table
+from wayfare.sources.schemas import DLQ, RAW, SORT_KEYS
+from wayfare.sources.streams import stream_source
 from wayfare.streaming.batches import read_batches
 from wayfare.streaming.cdc_orders import start_cdc_orders
-from wayfare.streaming.outcomes import read_outcome_counts, start_outcome_counts
+from wayfare.streaming.landing import booking_loads, start_landing
+from wayfare.streaming.outcomes import (
+    read_outcome_counts,
+    read_outcome_windows,
+    start_outcome_counts,
+    start_outcome_windows,
+)
 from wayfare.streaming.user_events import start_user_events
 from wayfare.streaming.versions import read_newest, start_versions
 
@@ -640,3 +650,237 @@ def stream_upsert_bookings(spark, root):
     key, version = ["booking_id"], staging.BOOKING_VERSION
     start_versions(stream, f"{base}/table", key, version, f"{base}/checkpoint", trigger=ONCE).awaitTermination()
     return read_newest(spark, f"{base}/table", key, version)
+
+
+# Loads: the input is filed load by load, late rows among them, and each load is taken in as it comes.
+
+
+def _booking_load() -> Column:
+    """By which load a booking version comes: the later ones hold versions older than, as old as and newer than the first."""
+    early = (F.col("loaded_at") <= sample.ntz(SPLIT_AT)) & (F.col("booking_id") % 7 != 3)
+    return F.when(early, 1).when(F.col("booking_id") % 5 != 2, 2).otherwise(3)
+
+
+def _order_load() -> Column:
+    """Updates of even orders come before their first state, all others after it."""
+    return F.when((F.col("op") == "u") == (F.col("order_id") % 2 == 0), 1).otherwise(2)
+
+
+def _event_load() -> Column:
+    return F.when(F.col("event_id").cast("long") % 3 == 0, 2).otherwise(1)
+
+
+def _filed(spark, rows: DataFrame, name: str, base: str, load: Column, last: int):
+    """File the loads of a raw table one after the other; yields after each."""
+    rows = tables.conform(rows, name).withColumn("_load", load)
+    rows = _stored(rows, name)
+    for number in range(1, last + 1):
+        one = rows.where(F.col("_load") == number).drop("_load")
+        write_load(one, f"{base}/{name}", f"load-{number}", f"2024-03-0{number}", SORT_KEYS[name])
+        yield number
+
+
+def _taken_in(spark, root, *names: str) -> increments.Increments:
+    """Staging tables and deltas after all loads of the named raw tables were taken in, each when it came."""
+    base = scratch_dir(spark, "loads")
+    inc = increments.Increments(spark, f"{base}/raw", f"{base}/out", buckets=8)
+    google, meta = _google_meta(spark, root)
+    raw = {
+        "raw_bookings": (sample.raw_bookings(spark, root), _booking_load(), 3),
+        "raw_google_ads": (google, F.lit(1), 1),
+        "raw_meta_ads": (meta, F.lit(1), 1),
+        "raw_cdc_orders": (sample.raw_cdc_orders(spark, root), _order_load(), 2),
+        "raw_user_events": (sample.raw_user_events(spark, root), _event_load(), 2),
+    }
+    for name in names:
+        rows, load, last = raw[name]
+        for _ in _filed(spark, rows, name, inc.raw, load, last):
+            inc.take_in(name)
+    return inc
+
+
+def _long(mart: str, df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    """A mart as rows of (mart, key, measure, value)."""
+    key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
+    rows = F.array(*[F.struct(F.lit(m).alias("measure"), F.round(F.col(m).cast("double"), 6).alias("value")) for m in measures])
+    return df.select(F.lit(mart).alias("mart"), key.alias("key"), F.inline(rows))
+
+
+@query
+def loads_taken_in(spark, root):
+    """Every booking version with the load that it came by and the run that took it in; one run broke off and was taken up."""
+    base = scratch_dir(spark, "ledger")
+    ledger = Ledger(spark, f"{base}/ledger")
+    path = f"{base}/raw/raw_bookings"
+    runs = []
+    for number in _filed(spark, sample.raw_bookings(spark, root), "raw_bookings", f"{base}/raw", _booking_load(), 3):
+        for attempt in (1, 2):
+            run = ledger.open(published_loads(spark, path))
+            if run is None:
+                continue
+            rows = read_loads(spark, path, RAW["raw_bookings"], run.loads)
+            rows.write.mode("overwrite").parquet(f"{base}/taken/run={run.name}")
+            if run.name not in runs:
+                runs.append(run.name)
+            if not (number == 2 and attempt == 1):
+                ledger.close(run)
+    place = F.array_position(F.array(*[F.lit(r) for r in runs]), F.col("run"))
+    taken = spark.read.parquet(f"{base}/taken")
+    return taken.select("booking_id", "run_id", "loaded_at", "price", "load_id", place.cast("int").alias("taken_in"))
+
+
+@query
+def loads_stg_bookings(spark, root):
+    """The newest version of each booking after three loads, each folded into the buckets that it touches."""
+    return _taken_in(spark, root, "raw_bookings").staged("stg_bookings_latest")
+
+
+@query
+def loads_stg_orders(spark, root):
+    """The current orders, although their updates came first."""
+    return _taken_in(spark, root, "raw_cdc_orders").staged("stg_orders")
+
+
+@query
+def delta_booking_marts(spark, root):
+    """The booking marts, kept up by what each load changed."""
+    inc = _taken_in(spark, root, "raw_bookings")
+    return union_all(
+        _long("daily", inc.mart("mart_daily_bookings"), ["booking_date"], ["total_bookings", "paid_bookings", "created_bookings", "cancelled_bookings", "total_revenue"]),
+        _long("route", inc.mart("mart_route_revenue"), ["route", "transport_type"], ["total_bookings", "paid_bookings", "total_revenue"]),
+        _long("status", inc.mart("mart_booking_status"), ["status"], ["total_bookings"]),
+    )
+
+
+@query
+def delta_order_marts(spark, root):
+    """The marts over orders, kept up by what each load changed."""
+    inc = _taken_in(spark, root, "raw_google_ads", "raw_meta_ads", "raw_cdc_orders")
+    return union_all(
+        _long("status", inc.mart("mart_orders_status"), ["status"], ["orders_count", "total_revenue"]),
+        _long("route", inc.mart("mart_route_revenue_from_orders"), ["route"], ["orders_count", "total_revenue", "avg_order_value"]),
+        _long("campaign", inc.mart("mart_campaign_performance"), ["platform", "campaign_id"], ["spend", "bookings", "revenue", "cpa", "roas"]),
+    )
+
+
+@query
+def delta_event_marts(spark, root):
+    """Funnel and conversion, kept up by what each load changed; the deltas were folded."""
+    inc = _taken_in(spark, root, "raw_user_events")
+    inc.deltas("mart_user_event_funnel").fold()
+    return union_all(
+        _long("funnel", inc.mart("mart_user_event_funnel"), ["event_type"], ["users_count", "events_count"]),
+        _long("by events", inc.conversion("events"), ["metric"], ["value"]),
+        _long("by users", inc.conversion("users"), ["metric"], ["value"]),
+    )
+
+
+@query
+def audience_rolling_week(spark, root):
+    """Distinct users of each event type in the seven days up to each day, from stored bitmaps of days."""
+    path = f"{scratch_dir(spark, 'audience')}/users"
+    audience.write_days(audience.daily_users(_events(spark, root)), path)
+    return audience.rolling_users(audience.read_days(spark, path), 7)
+
+
+@query
+def alert_episodes(spark, root):
+    """Alerts as episodes with their peaks."""
+    outcomes = health.outcome_counts(sample.outcome_events(spark, root), slide=1)
+    return health.episodes(outcomes, health.consumer_backlog(sample.sampled_offsets(spark, root)))
+
+
+@query
+def dq_every_key(spark, root):
+    """Several uniqueness keys of the raw bookings and other checks, in one shuffle."""
+    checks = (
+        quality.not_empty("rows"),
+        quality.unique("booking and run", "booking_id", "run_id"),
+        quality.unique("booking", "booking_id"),
+        quality.unique("user and load", "user_id", "loaded_at"),
+        quality.no_rows_where("negative prices", "price < 0"),
+        quality.fresh("freshness"),
+    )
+    return quality.run_suite(sample.raw_bookings(spark, root), checks, AS_OF)
+
+
+@query
+def sink_appended(spark, root):
+    """Valid bookings appended in two batches, and one without rows that writes nothing."""
+    path = f"{scratch_dir(spark, 'append')}/bookings"
+    valid, _ = validation.split_bookings(sample.raw_bookings(spark, root))
+    for part in (F.col("booking_id") % 2 == 0, F.col("booking_id") % 2 == 1, F.lit(False)):
+        write_append(valid.where(part), path)
+    return spark.read.parquet(path)
+
+
+@query
+def stream_outcome_windows(spark, root):
+    """Sliding outcome counts kept in the state store, with the late events; the newer half of the events came first."""
+    base = scratch_dir(spark, "windows")
+    outcomes = _stored(sample.outcome_events(spark, root), "outcomes")
+    middle = outcomes.agg(F.timestamp_seconds(F.avg(F.unix_seconds(F.col("ts").cast("timestamp"))).cast("long")).cast("timestamp_ntz")).first()[0]
+    for newer in (True, False):
+        half = outcomes.where((F.col("ts") >= F.lit(middle)) == newer)
+        half.write.mode("append").parquet(f"{base}/landing")
+        stream = spark.readStream.schema(outcomes.schema).parquet(f"{base}/landing")
+        start_outcome_windows(stream, f"{base}/counts", f"{base}/late", f"{base}/checkpoint", trigger=ONCE).awaitTermination()
+    return read_outcome_windows(spark, f"{base}/counts", late=f"{base}/late")
+
+
+@query
+def stream_after_failures(spark, root):
+    """Valid events of a stream whose first writes fail after they wrote: tried again, each is there once."""
+    base = scratch_dir(spark, "failures")
+    sample.incoming_events(spark, root).select("value").write.text(f"{base}/landing")
+    failures = [OSError("store is away")] * 2
+
+    def flaky(rows, path, batch_id):
+        write_batch(rows, path, batch_id)
+        if failures:
+            raise failures.pop()
+
+    start_user_events(
+        stream_source(spark, "file", path=f"{base}/landing"), f"{base}/raw", f"{base}/dlq", f"{base}/checkpoint",
+        trigger=ONCE, write=flaky, sleep=lambda seconds: None,
+    ).awaitTermination()
+    return staging.stg_user_events(read_batches(spark, f"{base}/raw").drop("batch_id")).drop("ingested_at")
+
+
+@query
+def stream_fallback_letters(spark, root):
+    """Refused events of a stream whose dead letters cannot be filed: they lie in the fallback folder."""
+    base = scratch_dir(spark, "fallback")
+    sample.incoming_events(spark, root).select("value").write.text(f"{base}/landing")
+
+    def no_letters(rows, path, batch_id):
+        if path.endswith("/dlq"):
+            raise OSError("dead letters cannot be written")
+        write_batch(rows, path, batch_id)
+
+    start_user_events(
+        stream_source(spark, "file", path=f"{base}/landing"), f"{base}/raw", f"{base}/dlq", f"{base}/checkpoint",
+        fallback=f"{base}/fallback", trigger=ONCE, write=no_letters, sleep=lambda seconds: None,
+    ).awaitTermination()
+    return _reason(spark.read.schema(DLQ["dlq_user_events"]).json(f"{base}/fallback")).drop("failed_at")
+
+
+@query
+def landing_bookings(spark, root):
+    """Booking files taken in as loads; the second run finds only the files that came meanwhile, the third none."""
+    base = scratch_dir(spark, "landing")
+    records = _stored(sample.booking_records(spark, root).select("value"), "records")
+    for first in (True, False, None):
+        if first is not None:
+            records.where((F.xxhash64("value") % 2 == 0) == first).write.mode("append").text(f"{base}/in")
+        start_landing(spark, f"{base}/in", f"{base}/raw", booking_loads, f"{base}/checkpoint", trigger=ONCE).awaitTermination()
+    rows = read_loads(spark, f"{base}/raw/raw_bookings", RAW["raw_bookings"])
+    return rows.select("booking_id", "user_id", "route", "transport_type", "status", "price", "currency", "created_at")
+
+
+@query
+def landing_json_rows(spark, root):
+    """Booking records read from JSON files under their declared schema."""
+    path = f"{scratch_dir(spark, 'json')}/records"
+    sample.booking_records(spark, root).select("value").write.text(path)
+    return tables.read_json_rows(spark, path, ingest.BOOKING_RECORD).drop("created_at")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import logging
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +46,7 @@ def start(
     checkpoint: str,
     trigger: dict | None = None,
     name: str | None = None,
+    mode: str | None = None,
 ) -> StreamingQuery:
     """Start a query that hands each micro-batch and its name to ``handle``; progress is kept in ``checkpoint``.
 
@@ -58,6 +59,8 @@ def start(
         handle(batch, f"{query_id(batch.sparkSession, checkpoint)}-{number}")
 
     writer = stream.writeStream.foreachBatch(named).option("checkpointLocation", checkpoint)
+    if mode:
+        writer = writer.outputMode(mode)
     if name:
         writer = writer.queryName(name)
     if trigger:
@@ -84,3 +87,12 @@ def read_batches(spark: SparkSession, path: str, schema: str | None = None) -> D
             raise
         return spark.createDataFrame([], f"{schema}, batch_id string")
     return found.withColumn("batch_id", F.col("batch_id").cast("string"))
+
+
+COUNTERS = "query string, received long, processed long, failed long, dlq long"
+
+
+def counter_row(spark: SparkSession, query: str, counts: Mapping[str, int]) -> DataFrame:
+    """The counters of one batch as a row; what was not counted is 0, as of a batch without rows."""
+    names = ("received", "processed", "failed", "dlq")
+    return spark.createDataFrame([(query, *(counts.get(name, 0) for name in names))], COUNTERS).coalesce(1)

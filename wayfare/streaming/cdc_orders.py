@@ -5,13 +5,13 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wayfare.sinks.writers import write_batch
 from wayfare.sources.ingest import ORDERS_TOPIC, raw_changes, read_envelopes
-from wayfare.streaming.batches import start, with_backoff
+from wayfare.streaming.batches import counter_row, start, with_backoff
 
 
 def start_cdc_orders(
@@ -32,28 +32,27 @@ def start_cdc_orders(
     """
 
     def handle(batch: DataFrame, batch_id: str) -> None:
-        envelopes = read_envelopes(batch).persist()
-        try:
-            rows = raw_changes(envelopes, topic, arrived_at)
-            with_backoff(lambda: write(rows, raw, batch_id), sleep=sleep)
-            if metrics is not None:
-                with_backoff(lambda: write(envelope_counts(envelopes), metrics, batch_id), sleep=sleep)
-        finally:
-            envelopes.unpersist()
+        counts: dict[str, int] = {}
 
-    return start(stream, handle, checkpoint, trigger)
+        def write_rows() -> None:
+            # Counted while the batch is written; an observation serves one action.
+            seen = Observation()
+            envelopes = read_envelopes(batch).observe(seen, *envelope_columns())
+            write(raw_changes(envelopes, topic, arrived_at), raw, batch_id)
+            counts.update(seen.get)
 
+        with_backoff(write_rows, sleep=sleep)
+        if metrics is not None:
+            row = counter_row(batch.sparkSession, "orders_cdc", counts)
+            with_backoff(lambda: write(row, metrics, batch_id), sleep=sleep)
 
-def change_counts(batch: DataFrame) -> DataFrame:
-    """Outcome counters of one batch of change messages."""
-    return envelope_counts(read_envelopes(batch))
+    return start(stream, handle, checkpoint, trigger)
 
 
-def envelope_counts(envelopes: DataFrame) -> DataFrame:
-    """Outcome counters of change messages that are taken apart already."""
-    return envelopes.agg(
+def envelope_columns() -> list[Column]:
+    """What is counted of change messages that are taken apart."""
+    return [
         F.count("*").alias("received"),
         F.count_if(F.col("readable")).alias("processed"),
         F.count_if(~F.col("readable")).alias("failed"),
-        F.lit(0).cast("bigint").alias("dlq"),
-    ).select(F.lit("orders_cdc").alias("query"), "*")
+    ]

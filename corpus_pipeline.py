@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm import classifier, linededup, neardup, packing, rules
-from wayfare.llm.common import staged, table, words_of
+from wayfare.llm.common import free_names, staged, table, words_of
 from wayfare.llm.queries import tokenizer_path
 from wayfare.session import configure
 
@@ -29,19 +29,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that an earlier line is like; those that lose all their words so are gone."""
     configure(spark)
-    cleaned = linededup.dedup_lines(docs)
-    left = (F.col("n_dropped") == 0) | (F.size(words_of(F.col("text"))) > 0)
+    names = free_names(docs, "n_lines", "n_dropped")
+    cleaned = linededup.dedup_lines(docs, names=tuple(names))
+    left = (F.col(names[1]) == 0) | (F.size(words_of(F.col("text"))) > 0)
     kinds = dict(docs.dtypes)
     n_chars = {"n_chars": F.length("text").cast(kinds["n_chars"])} if "n_chars" in kinds else {}
     return cleaned.where(left).withColumns(n_chars).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest doc_id, of each group of near duplicates."""
+    """One document of each group of near duplicates, the one with the smallest doc_id; rows are judged one by one."""
     configure(spark)
-    found = neardup.near_duplicates(docs, percent=80, rows=4)
-    copies = staged(found.where(~F.col("kept")).select("doc_id").distinct(), "copies")
-    return docs.join(copies, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return neardup.without_copies(docs, percent=80, rows=4)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

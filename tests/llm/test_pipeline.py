@@ -5,7 +5,8 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 import pytest
-from helpers import ODD, PATH, documents
+from helpers import ODD, PATH, documents, prose
+from pyspark.sql import functions as F
 from test_linededup import brute as clean_lines
 from test_neardup import brute as near_duplicates
 from test_rules import brute as measures
@@ -65,3 +66,31 @@ def test_stages_stand_odd_rows(spark, rows):
         got = out.collect()
         if name != "packing":
             assert out.columns == docs.columns and len(got) <= len(rows)
+
+
+CLASHING = ("_id", "_row_key", "_dropped", "_clean", "_host", "n_lines", "n_dropped", "score", "content_score", "row", "row_key", "spot", "key", "_word", "_b", "rejected_host", "dropped")
+
+
+def with_clashes(spark, rows):
+    docs = documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    return docs.select("*", *[F.concat(F.lit(f"{name} "), F.col("doc_id").cast("string")).alias(name) for name in CLASHING])
+
+
+def test_columns_of_any_name_come_through(spark):
+    rows = [(i, prose(80, i, 3000) + f"\ncommon line that stands in every one of the documents here\nown {i}") for i in range(12)]
+    rows += [(20, rows[3][1]), (21, "short")]
+    docs = with_clashes(spark, rows)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, DATA)
+        assert out.columns == docs.columns, name
+        assert all(r[c] == f"{c} {r['doc_id']}" for r in out.collect() for c in CLASHING), name
+
+
+def test_near_dedup_judges_rows_not_ids(spark):
+    x, y, z = prose(90, 1), prose(90, 2), prose(90, 3)
+    near = " ".join(["other", *x.split()[1:]])
+    rows = [(1, x), (2, x), (2, y), (3, z), (3, z), (None, z), (5, None), (5, None), (6, ""), (6, " \n"), (None, near), (7, near), (7, prose(90, 4)), (None, prose(90, 5)), (None, prose(90, 5))]
+    got = corpus_pipeline.near_dedup(spark, with_clashes(spark, rows), DATA).collect()
+    stay = [(1, x), (2, y), (3, z), (5, None), (5, None), (6, ""), (6, " \n"), (7, prose(90, 4)), (None, prose(90, 5))]
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=repr) == sorted(stay, key=repr)
+    assert corpus_pipeline.near_dedup(spark, with_clashes(spark, []), DATA).collect() == []

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.llm.common import small_batches
+from wayfare.llm.common import TABLES, free_names, releasing, small_batches
 
 #: Bounds of the samples that the classifiers are fitted on.
 FIT_ROWS, POOL_ROWS = 6_000, 6_000
@@ -51,6 +51,7 @@ class WordBuckets(dict):
 
 
 BUCKETS = WordBuckets()
+TABLES.append(BUCKETS)
 
 
 def content(text: str | None) -> np.ndarray:
@@ -167,6 +168,7 @@ def _features(rows: list) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
+@releasing
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
         x, m = _features(batch.to_pylist())
@@ -202,28 +204,30 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, pool_rows:
 SCORES = ("content_score", "metadata_score", "score")
 
 
-def with_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, pool_rows: int = POOL_ROWS) -> DataFrame:
+def with_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, pool_rows: int = POOL_ROWS, names: tuple[str, ...] = SCORES) -> DataFrame:
     """All columns and rows with three scores: the chance of good quality by content, by metadata, by both.
 
     Rows are scored by their own text, source and language; null counts as empty. Null ids and repeated rows are scored
-    like others. If nothing can be learnt from the labels, all scores are 1.0. An empty table gives no rows. Columns
-    of these names are replaced.
+    like others. If nothing can be learnt from the labels, all scores are 1.0. An empty table gives no rows. The scores
+    are called ``names``; columns of these names are replaced.
     """
-    docs = docs.drop(*SCORES)
+    docs = docs.drop(*names)
     own = docs.select(F.col("doc_id").cast("long"), "text", F.col("source").cast("string"), F.col("lang").cast("string"))
     model = fit(own, labels, fit_rows, pool_rows)
 
+    @releasing
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 3_000_000):
             if model is None:
                 found = (np.ones(batch.num_rows),) * 3
             else:
                 found = model.scores(_features(batch.select(["text", "source", "lang"]).to_pylist()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(np.asarray(s, np.float64)) for s in found)], [*batch.schema.names, *SCORES])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(np.asarray(s, np.float64)) for s in found)], [*batch.schema.names, *names])
 
-    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, *(T.StructField(c, T.DoubleType()) for c in SCORES)]))
+    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, *(T.StructField(c, T.DoubleType()) for c in names)]))
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, keep_from: float = KEEP_FROM) -> DataFrame:
     """The documents whose score is ``keep_from`` or more, with their own columns."""
-    return with_scores(docs, labels).where(F.col("score") >= keep_from).drop(*SCORES)
+    names = tuple(free_names(docs, *SCORES))
+    return with_scores(docs, labels, names=names).where(F.col(names[-1]) >= keep_from).drop(*names)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import reduce, wraps
 from operator import or_
 
 import numpy as np
@@ -36,6 +37,40 @@ def texts_of(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names with as many underscores in front as it takes to differ from all columns of the frame."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+#: Word tables of the Python workers; see ``releasing``.
+TABLES: list[dict] = []
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """Let a worker give back its word tables and buffers when a task ends, as it waits for the next one beside the JVM."""
+
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            for table in TABLES:
+                table.clear()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every system has it
+            if trim is not None:
+                trim(0)
+
+    return task
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, nothing else."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -85,6 +120,15 @@ def _bit(key: Column) -> tuple[Column, Column]:
     return F.shiftright(place, 6), place % 64
 
 
+def _bitmap(wanted: DataFrame, key: str) -> DataFrame:
+    word, bit = _bit(F.xxhash64(F.col(key)))
+    return (
+        wanted.select(word.alias("_word"), bit.cast("int").alias("_b"))
+        .groupBy("_word")
+        .agg(F.bit_or(F.expr("shiftleft(1L, _b)")).alias("_bits"))
+    )
+
+
 def may_be_in(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
     """Rows whose key may be among the wanted ones: loses none of them and most of the others.
 
@@ -92,16 +136,18 @@ def may_be_in(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> Da
     cannot match; if very many keys are wanted, it lets more rows pass, and the join that
     follows is right all the same.
     """
-    word, bit = _bit(F.xxhash64(F.col(wanted_key)))
-    bitmap = (
-        wanted.select(word.alias("_word"), bit.cast("int").alias("_b"))
-        .groupBy("_word")
-        .agg(F.bit_or(F.expr("shiftleft(1L, _b)")).alias("_bits"))
-    )
     word, bit = _bit(F.xxhash64(F.col(key)))
     return (
         df.withColumns({"_word": word, "_b": bit.cast("int")})
-        .join(F.broadcast(bitmap), "_word")
+        .join(F.broadcast(_bitmap(wanted, wanted_key)), "_word")
         .where(F.expr("shiftrightunsigned(_bits, _b) & 1L") == 1)
         .drop("_word", "_b", "_bits")
     )
+
+
+def parted(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be among the wanted ones, rows whose key is not): by the same bitmap; null keys are not."""
+    word, bit = _bit(F.xxhash64(F.col(key)))
+    marked = df.withColumns({"_word": word, "_b": bit.cast("int")}).join(F.broadcast(_bitmap(wanted, wanted_key)), "_word", "left")
+    hit = F.coalesce(F.expr("shiftrightunsigned(_bits, _b) & 1L") == 1, F.lit(False)) & F.col(key).isNotNull()
+    return tuple(marked.where(side).drop("_word", "_b", "_bits") for side in (hit, ~hit))

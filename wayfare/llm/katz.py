@@ -39,7 +39,7 @@ from wayfare.session import scratch_dir
 #: Order of the model, and the highest count that is discounted.
 ORDER, DISCOUNTED = 2, 5
 #: About so many tokens make a block, and so many are asked for in a bucket; buckets there are at least and at most.
-BLOCK_TOKENS, BUCKET_TOKENS = 2_500_000, 2_000_000
+BLOCK_TOKENS, BUCKET_TOKENS = 3_000_000, 2_000_000
 BUCKETS = (64, 1_000_000)
 #: Bytes of an n-gram's hash that are sent and filed: in the lower orders, whose n-grams are histories of the next, and in the highest.
 GRAM_BYTES = (8, 6)
@@ -112,7 +112,9 @@ def _block_batches(limit: int):
 def chained(history: np.ndarray | np.uint64, word: np.ndarray | np.uint64) -> np.ndarray:
     """The hash of an n-gram from that of its history and its last word."""
     with np.errstate(over="ignore"):
-        return mix64(np.atleast_1d(history) * np.uint64(0x9E3779B97F4A7C15) + np.atleast_1d(word))
+        joined = np.atleast_1d(history) * np.uint64(0x9E3779B97F4A7C15)
+        joined += np.atleast_1d(word)
+        return mix64(joined)
 
 
 @dataclass
@@ -147,11 +149,14 @@ class Frequent:
 
 def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(order, starts, inverse): an order that brings equal keys together, where each begins in it, and the group of each key."""
-    order = np.argsort(keys)
+    order = np.argsort(keys).astype(np.int32)  # a block has some million keys
     ordered = keys[order]
     new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+    del ordered
+    group = np.cumsum(new, dtype=np.int32)
+    group -= 1
     inverse = np.empty(len(keys), np.int32)
-    inverse[order] = np.cumsum(new) - 1
+    inverse[order] = group
     return order, np.flatnonzero(new), inverse
 
 
@@ -230,17 +235,18 @@ class Text:
             self.start = START
         self.grams = chained(before, self.words) if order > 1 else self.words
         by_gram, starts, inverse = grouped(self.grams)
-        self.some = by_gram[starts]  # a token of each n-gram
-        keys = self.grams[self.some]
-        dealt = frequent.dealt(before[self.some], keys)
-        by_history = np.argsort(dealt, kind="stable")
+        some = by_gram[starts]  # a token of each n-gram
+        keys, history = self.grams[some], before[some]
+        del by_gram, before
+        dealt = frequent.dealt(history, keys)
+        by_history = np.argsort(dealt, kind="stable").astype(np.int32)
         place = np.empty(len(by_history), np.int32)
-        place[by_history] = np.arange(len(by_history))
+        place[by_history] = np.arange(len(by_history), dtype=np.int32)
         self.inverse = place[inverse]
-        self.some, self.keys, dealt, self.history = self.some[by_history], keys[by_history], dealt[by_history], before[self.some][by_history]
+        self.some, self.keys, dealt = some[by_history], keys[by_history], dealt[by_history]
         new = np.flatnonzero(np.concatenate(([True], dealt[1:] != dealt[:-1])))
         self.histories, self.history_sizes = dealt[new], np.diff(np.append(new, len(dealt)))
-        self.first_of_history = self.history[new]
+        self.first_of_history = history[by_history[new]]
         bucket = ((self.histories >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         self.used = np.flatnonzero(np.bincount(bucket, minlength=buckets))
         self.cuts = np.append(np.searchsorted(bucket, self.used), len(bucket))

@@ -19,15 +19,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import may_be_in, staged, words_of
+from wayfare.llm.common import may_be_in, parted, staged, words_of
 
 #: Lines with fewer words are only compared for equality: one word is too much of them.
 MIN_WORDS = 8
 SEEDS = (11, 47)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: place, hash of its words, and the words."""
+def _places(docs: DataFrame) -> DataFrame:
+    """One row per line with a word: its place (document, key of the row, number) and its text."""
     # A null id sorts before all others; rows that share an id are told apart by their text.
     source = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"),
@@ -35,8 +35,12 @@ def _lines(docs: DataFrame) -> DataFrame:
         F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"),
     )
     # A filter on the words would be moved below their projection and split each line twice.
-    source = source.where(F.btrim("line", F.lit(" \t\n\x0b\x0c\r")) != "")
-    lines = source.select("id", "row_key", "line_no", words_of(F.col("line")).alias("words"))
+    return source.where(F.btrim("line", F.lit(" \t\n\x0b\x0c\r")) != "")
+
+
+def _with_words(places: DataFrame) -> DataFrame:
+    """The lines with the hash of their words, and the words."""
+    lines = places.select("id", "row_key", "line_no", words_of(F.col("line")).alias("words"))
     return lines.select("id", "row_key", "line_no", "words", F.xxhash64("words").alias("line"), F.size("words").alias("n"))
 
 
@@ -101,9 +105,10 @@ def _within_one(a: str, b: str) -> Column:
 
 def earliest_alike(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
     """(occurrences, firsts): all lines by place, and for each distinct line the earliest place of one like it."""
-    lines = _lines(docs)
+    places = _places(docs)
+    lines = _with_words(places)
     place = F.struct("id", "line_no")
-    # Texts are split into words once for this table of hashes, and once more for the lines that need it.
+    # Texts are split into words once for this table of hashes; those of the lines that need it are fetched by their places.
     halves = F.when(F.col("n") >= min_words, _halves()).alias("halves")
     hashes = staged(lines.select("id", "row_key", "line_no", "line", halves), "line-hashes")
     occurrences = hashes.drop("halves")
@@ -112,11 +117,13 @@ def earliest_alike(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFra
     halves = hashes.where("halves is not null").select("line", F.explode("halves").alias("half"))
     shared = staged(halves.groupBy("half").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high").select("half"), "shared-halves")
     sharing = staged(may_be_in(halves, "half", shared, "half").join(shared, "half").select("line").distinct(), "sharing-lines")
-    # No filter on the number of words: it would be moved below and split each line twice.
-    found = may_be_in(lines, "line", sharing, "line").groupBy("line").agg(F.min(F.struct("id", "line_no", "n", "words")).alias("first"))
-    candidates = staged(
-        found.join(sharing, "line").select("line", F.struct("first.id", "first.line_no").alias("place"), "first.n", "first.words"), "candidates"
-    )
+    firsts = may_be_in(occurrences, "line", sharing, "line").join(sharing, "line")
+    firsts = firsts.groupBy("line").agg(F.min(F.struct("id", "line_no", "row_key")).alias("f"))
+    firsts = staged(firsts.select("line", F.xxhash64("f.id", "f.row_key", "f.line_no").alias("spot")), "first-spots")
+    spots = places.withColumn("spot", F.xxhash64("id", "row_key", "line_no"))
+    found = _with_words(may_be_in(spots, "spot", firsts, "spot")).dropDuplicates(["id", "row_key", "line_no"])
+    found = found.withColumn("spot", F.xxhash64("id", "row_key", "line_no")).join(firsts, ["line", "spot"])
+    candidates = staged(found.select("line", place.alias("place"), "n", "words"), "candidates")
     variants = staged(_variants(candidates), "variants")
 
     def first_of(role: str) -> Column:
@@ -144,34 +151,36 @@ def earliest_alike(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFra
     return occurrences, staged(firsts, "first-places")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, names: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
     """All columns and rows, ``text`` without lines that an earlier line of the corpus is like.
 
     Lines lie between line feeds and are compared by their words; places are ordered by doc_id, then line number.
     Lines without a word stay. A line goes if any earlier one is alike, whether that one stays or
-    not. ``n_lines`` and ``n_dropped`` are added. Null and empty texts stay as they are; a null doc_id comes first;
-    equal rows with the same doc_id share their places, so neither drops the other's lines.
+    not. The numbers of lines and of dropped ones are added as ``names``, in place of columns of these names. Null and empty texts
+    stay as they are; a null doc_id comes first; equal rows with the same doc_id share their places, so neither drops the
+    other's lines. Documents that lose nothing are not shuffled.
     """
     occurrences, firsts = earliest_alike(docs, min_words)
     repeated = firsts.where("times > 1 or first < place").select("line", "first")
     repeated = staged(repeated, "repeated-lines")
     # Joined first by itself: a line that is in a third of all documents is then split by the planner.
     marks = may_be_in(occurrences, "line", repeated, "line").join(repeated, "line")
-    dropped = staged(marks.where(F.struct("id", "line_no") > F.col("first")).select("id", "row_key", "line_no"), "dropped-lines")
-    by_doc = dropped.groupBy("id", "row_key").agg(F.collect_set("line_no").alias("_dropped"))
-    own = docs.drop("n_lines", "n_dropped").withColumns(
-        {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "_row_key": F.xxhash64("text")}
-    )
-    joined = own.join(by_doc.select(F.col("id").alias("_id"), F.col("row_key").alias("_row_key"), "_dropped"), ["_id", "_row_key"], "left")
-    parts = F.split("text", "\n")
-    last = F.size(parts) - 1
-    stay = F.array_except(F.sequence(F.lit(0), last), F.col("_dropped"))
+    dropped = marks.where(F.struct("id", "line_no") > F.col("first")).select(F.xxhash64("id", "row_key").alias("spot"), "line_no")
+    by_doc = staged(dropped.groupBy("spot").agg(F.collect_set("line_no").alias("dropped")), "dropped-lines")
+    # The columns of the table stay by themselves in a struct, whatever their names.
+    columns = [c for c in docs.columns if c not in names]
+    id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    own = docs.select(F.xxhash64(id_, F.xxhash64("text")).alias("spot"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    maybe, whole = parted(own, "spot", by_doc, "spot")
+    joined = maybe.join(by_doc, "spot", "left").unionByName(whole.withColumn("dropped", F.lit(None).cast("array<int>")))
+    parts = F.split("row.text", "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("dropped"))
     cleaned = F.array_join(F.transform(stay, lambda i: F.element_at(parts, i + 1)), "\n")
-    return (
-        joined.withColumn("_clean", F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(cleaned))
-        .withColumns({"n_lines": F.coalesce(F.size(parts), F.lit(0)), "n_dropped": F.coalesce(F.size("_dropped"), F.lit(0))})
-        .withColumn("text", F.col("_clean"))
-        .select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
+    text = F.when(F.col("dropped").isNull(), F.col("row.text")).otherwise(cleaned)
+    return joined.select(
+        *[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in columns],
+        F.coalesce(F.size(parts), F.lit(0)).alias(names[0]),
+        F.coalesce(F.size("dropped"), F.lit(0)).alias(names[1]),
     )
 
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import may_be_in, mix64, small_batches, staged
+from wayfare.llm.common import TABLES, free_names, may_be_in, mix64, parted, releasing, small_batches, staged
 from wayfare.llm.components import components
 
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -43,6 +43,7 @@ class WordHashes(dict):
 
 
 HASHES = WordHashes()
+TABLES.append(HASHES)
 
 
 def words_in(text: str | None) -> list[bytes]:
@@ -101,6 +102,7 @@ def bands_for(percent: int, rows: int, miss: float = 1e-7) -> int:
 def _sketch_batches(size: int, bands: int, rows: int):
     schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 2_000_000):
             words = [words_in(t) for t in batch.column("text").to_pylist()]
@@ -116,6 +118,7 @@ def _sketch_batches(size: int, bands: int, rows: int):
 def _linked(percent: int, size: int):
     """Batches of pairs with both texts, cut to the pairs that are similar enough."""
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_set = None, None
         for batch in small_batches(batches, "text_b", 2_000_000):
@@ -142,6 +145,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> Dat
 
 
 def _token_batches(size: int):
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 2_000_000):
             sets = [shingles(words_in(t), size).view(np.int64) for t in batch.column("text").to_pylist()]
@@ -241,3 +245,32 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, rows: int
         .select("doc_id", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def without_copies(docs: DataFrame, percent: int = 85, size: int = 5, rows: int = 5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, but only one of each component of near duplicates.
+
+    That with the smallest doc_id stays (one with an id rather than one without; of several with the same id, that whose text has
+    the smallest hash). Rows are told apart by id and text, so other rows with the id of a copy stay. Of rows equal in both, one
+    stays. Null, empty and blank texts are copies of nothing and all stay.
+    """
+    key, row = free_names(docs, "row_key", "row")
+    own = docs.select(F.xxhash64(F.col("doc_id").cast("long"), F.col("text")).alias(key), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
+    texts = own.select(F.col(key).alias("doc_id"), F.col(f"{row}.text").alias("text"))
+    found = near_duplicates(texts, percent, size, rows).where("n_shingles > 0")
+    found = staged(found.groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("n")), "row-components")
+    shared = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("keys")).where("keys > 1").select("component_id")
+    members = staged(found.join(shared, "component_id").select("component_id", F.col("doc_id").alias("key")), "component-rows")
+    ids = own.select(F.col(key).alias("key"), F.col(f"{row}.doc_id").cast("long").alias("id"))
+    ids = may_be_in(ids, "key", members, "key").distinct()
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first")
+    stay = staged(members.join(ids, "key").groupBy("component_id").agg(first).select(F.col("first.key").alias("key")), "first-rows")
+    gone = staged(members.join(stay, "key", "left_anti").select("key"), "copies")
+    several = found.where("n > 1").select(F.col("doc_id").alias("key")).join(gone, "key", "left_anti")
+    several = staged(several, "repeated-rows")
+    judged = staged(gone.withColumn("one", F.lit(False)).unionByName(several.withColumn("one", F.lit(True))), "judged-rows")
+    maybe, clean = parted(own, key, judged, "key")
+    maybe = maybe.withColumnRenamed(key, "key")
+    kept = maybe.join(judged, "key", "left_anti").select(row)
+    one = maybe.join(judged.where("one").select("key"), "key").groupBy("key").agg(F.first(row).alias(row)).select(row)
+    return clean.select(row).unionByName(kept).unionByName(one).select(*[F.col(f"{row}.`{c}`") for c in docs.columns])

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import mix64, small_batches, staged
+from wayfare.llm.common import free_names, mix64, releasing, small_batches, staged
 from wayfare.llm.neardup import HASHES
 
 # The rules, as SQL over the measures of a document.
@@ -57,6 +57,7 @@ def measure(text: str | None) -> tuple[int, ...]:
     return n, len(text or "") - white, symbols, len(lines) - len(set(lines)), repeated, len(lines)
 
 
+@releasing
 def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches, "text"):
         rows = [measure(t) for t in batch.column("text").to_pylist()]
@@ -130,13 +131,15 @@ def kept_documents(docs: DataFrame, host: str = "source", max_rate: float = HOST
     """
     bad = rejected_hosts(staged(measured(docs, host), "measures"), max_rate)
 
+    @releasing
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             found = [measure(t) for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array([m[0] >= 50 and 100 * m[4] <= 50 * m[0] for m in found], pa.bool_()))
 
     own = docs.mapInArrow(passing, docs.schema)
-    return own.join(bad.withColumnRenamed("host", "_host"), F.col(host).cast("string") == F.col("_host"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    (name,) = free_names(docs, "rejected_host")
+    return own.join(bad.select(F.col("host").alias(name)), F.col(host).cast("string") == F.col(name), "left_anti")
 
 
 SQL = f"""

@@ -12,14 +12,16 @@ from wayfare.operators.keyed import latest_by
 EPOCH = "1970-01-01 00:00:00"
 
 
-def after_high_water(source: DataFrame, target: DataFrame, column: str = "loaded_at") -> DataFrame:
+def after_high_water(source: DataFrame, target: DataFrame, column: str = "loaded_at", inclusive: bool = False) -> DataFrame:
     """Rows of ``source`` newer than anything in ``target``; all of them if it is empty.
 
+    ``inclusive`` also takes rows as new as the mark and rows without a time, for targets into which a row may be folded twice.
+    Rows that arrive late, with an older time, are never taken: where that happens, ask a ``Ledger`` for new loads instead.
     The mark is a scalar subquery, so it is evaluated once and pushed into the source scan.
     """
     epoch = F.lit(EPOCH).cast(source.schema[column].dataType)
     mark = target.agg(F.coalesce(F.max(column), epoch)).scalar()
-    return source.where(F.col(column) > mark)
+    return source.where(F.col(column).isNull() | (F.col(column) >= mark)) if inclusive else source.where(F.col(column) > mark)
 
 
 def upsert_latest(

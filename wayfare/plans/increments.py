@@ -115,3 +115,24 @@ class Increments:
         if by not in ("events", "users"):
             raise ValueError(f"unknown counting unit {by!r}")
         return marts.conversion(self.mart("mart_user_event_funnel").select("event_type", F.col(f"{by}_count").alias("n")))
+
+    def all_marts(self, conversion_by: str = "events") -> dict[str, DataFrame]:
+        """Every mart of the platform."""
+        found = {name: self.mart(name) for name in deltas.MARTS}
+        found["mart_ad_performance"] = marts.mart_ad_performance(self.staged("stg_ads_latest"))
+        found["mart_booking_conversion"] = self.conversion(conversion_by)
+        return found
+
+
+def refresh(inc: Increments, conversion_by: str = "events", fold: bool = False) -> dict[str, DataFrame]:
+    """The daily refresh by loads: take in what each feed lacks, and return all staging tables and marts.
+
+    It costs what came in: the loads, the buckets they touch and the marts' deltas. ``fold`` adds the deltas up, which is
+    worth it after many runs.
+    """
+    for raw in FEEDS:
+        inc.take_in(raw)
+    if fold:
+        for mart in deltas.MARTS:
+            inc.deltas(mart).fold()
+    return {name: inc.staged(name) for name in STAGED} | inc.all_marts(conversion_by)

@@ -64,7 +64,7 @@ def stg_ads_latest(google: DataFrame, meta: DataFrame) -> DataFrame:
 
 def stg_ads_incremental(google: DataFrame, meta: DataFrame, staged: DataFrame) -> DataFrame:
     """The staged campaigns after the versions loaded since came in."""
-    new = after_high_water(_ads(google, meta), staged)
+    new = after_high_water(_ads(google, meta), staged, inclusive=True)
     return upsert_latest(staged, new, ["platform", "campaign_id"], ["loaded_at"])
 
 
@@ -137,5 +137,5 @@ def stg_orders_incremental(new_changes: DataFrame, staged: DataFrame) -> DataFra
 
 def stg_user_events_incremental(raw: DataFrame, staged: DataFrame) -> DataFrame:
     """The staged events after the copies ingested since came in."""
-    new = after_high_water(raw.select(*EVENT_COLUMNS), staged, "ingested_at")
+    new = after_high_water(raw.select(*EVENT_COLUMNS), staged, "ingested_at", inclusive=True)
     return upsert_latest(staged, new, ["event_id"], ["ingested_at"])

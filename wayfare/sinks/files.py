@@ -37,3 +37,9 @@ def move(spark: SparkSession, path: str, to: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     files, target = _at(spark, path)
     files.delete(target, True)
+
+
+def make(spark: SparkSession, path: str) -> None:
+    """An empty folder, if there is none yet."""
+    files, target = _at(spark, path)
+    files.mkdirs(target)

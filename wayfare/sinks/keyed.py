@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfare.operators.keyed import UNORDERED, latest_by
+from wayfare.operators.rows import union_all
 from wayfare.sinks import files
 
 BUCKET = "bucket"
@@ -41,13 +42,30 @@ class KeyedTable:
         return F.struct(*[F.col(f"{row}{name}") for name in (*self.version, *others)])
 
     def _read(self, spark: SparkSession, only: Sequence[int] | None = None) -> DataFrame:
-        """Rows with their bucket; if some buckets are named, only their folders are read."""
+        """Rows with their bucket; if some buckets are named, only their folders are read.
+
+        Buckets that an upsert has made and not yet put in place are read where they are.
+        """
         full = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        if not any(name.startswith(f"{BUCKET}=") for name in files.names_in(spark, self.path)):
-            return spark.createDataFrame([], full)
-        found = spark.read.schema(full).parquet(self.path)
+        fresh = {name: f"{self.run_folder(run)}/buckets" for run in self._pending(spark) for name in self._buckets_in(spark, f"{self.run_folder(run)}/buckets")}
+        placed = [name for name in self._buckets_in(spark, self.path) if name not in fresh]
+        parts = []
+        for base in dict.fromkeys([self.path, *fresh.values()]):
+            names = placed if base == self.path else [name for name in fresh if fresh[name] == base]
+            if names:
+                rows = spark.read.schema(full).parquet(base)
+                # The planner prunes the folders; without anything pending, all that are there count.
+                parts.append(rows.where(F.col(BUCKET).isin([int(name.partition("=")[2]) for name in names])) if fresh else rows)
+        found = union_all(*parts) if parts else spark.createDataFrame([], full)
         return found if only is None else found.where(F.col(BUCKET).isin(list(only)))
 
+    def _buckets_in(self, spark: SparkSession, folder: str) -> list[str]:
+        return [name for name in files.names_in(spark, folder) if name.startswith(f"{BUCKET}=")]
+
+    def _pending(self, spark: SparkSession) -> list[str]:
+        """Runs that are putting buckets in place, or broke off doing so; one at most."""
+        return files.names_in(spark, f"{self.path.rstrip('/')}.pending")
+
     def read(self, spark: SparkSession) -> DataFrame:
         return self._read(spark).select(*self.columns)
 
@@ -62,6 +80,8 @@ class KeyedTable:
         per key first, each task by itself, so a hot key costs one row per task.
         """
         spark, base = new.sparkSession, self.run_folder(run)
+        for other in self._pending(spark):  # broke off: its buckets go in place before another run builds on them
+            self._finish(spark, other)
         changes, fresh = f"{base}/changes", f"{base}/buckets"
         if not files.is_complete(spark, changes):
             self._find_changes(new, f"{base}/newest", changes)
@@ -69,10 +89,17 @@ class KeyedTable:
         if not files.is_complete(spark, f"{base}/merged"):
             if not files.is_complete(spark, fresh):
                 self._merge(found, fresh)
-            self._replace(spark, fresh)
-            spark.createDataFrame([(run,)], "run string").coalesce(1).write.mode("overwrite").parquet(f"{base}/merged")
+            files.make(spark, f"{self.path.rstrip('/')}.pending/{run}")
+            self._finish(spark, run)
         return found
 
+    def _finish(self, spark: SparkSession, run: str) -> None:
+        """Put the run's buckets in place; whatever was done of it already is left."""
+        base = self.run_folder(run)
+        self._replace(spark, f"{base}/buckets")
+        spark.createDataFrame([(run,)], "run string").coalesce(1).write.mode("overwrite").parquet(f"{base}/merged")
+        files.remove(spark, f"{self.path.rstrip('/')}.pending/{run}")
+
     def changes(self, spark: SparkSession, run: str) -> DataFrame:
         """What a run changed, read back: bucket, before, after."""
         row = T.StructType(self.schema.fields)
@@ -111,7 +138,6 @@ class KeyedTable:
 
     def _replace(self, spark: SparkSession, fresh: str) -> None:
         """Put the fresh buckets in the place of the old ones, one after the other; can be done again from anywhere."""
-        for name in files.names_in(spark, fresh):
-            if name.startswith(f"{BUCKET}="):
-                files.remove(spark, f"{self.path.rstrip('/')}/{name}")
-                files.move(spark, f"{fresh}/{name}", f"{self.path.rstrip('/')}/{name}")
+        for name in self._buckets_in(spark, fresh):
+            files.remove(spark, f"{self.path.rstrip('/')}/{name}")
+            files.move(spark, f"{fresh}/{name}", f"{self.path.rstrip('/')}/{name}")

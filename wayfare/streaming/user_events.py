@@ -39,8 +39,9 @@ def start_user_events(
     """Start the event query over a stream with the message text in ``value``.
 
     Per micro-batch: valid events go to ``raw``, refused ones to ``dlq``, one row of counts to
-    ``metrics`` (received, processed, refused, and those whose dead letter could not be filed where it belongs). If the dead letters cannot be written even after retries, they go to ``fallback``
-    as JSON lines. Every write is filed under the batch's name, so a repeated batch replaces
+    ``metrics`` (received, processed, refused, and those whose dead letter could not be filed where
+    it belongs), observed while ``write`` writes the valid ones. If the dead letters cannot be
+    written even after retries, they go to ``fallback`` as JSON lines. Every write is filed under the batch's name, so a repeated batch replaces
     itself. Which letters have recovered since is read off ``raw``: see ``apply_recoveries``.
     """
 

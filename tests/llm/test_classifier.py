@@ -75,3 +75,60 @@ def test_odd_rows_with_a_model(spark):
     got = classifier.with_scores(documents(spark, [*rows, *ODD]), labels).collect()
     assert len(got) == len(rows) + len(ODD) and all(np.isfinite(r["score"]) for r in got)
     assert [r["score"] for r in got if r["doc_id"] is None][0] == [r["score"] for r in got if r["doc_id"] is None][1]
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    docs = spark.read.parquet(f"{HELD}/documents.parquet").select("doc_id", "text", "source", "lang")
+    return docs, spark.read.parquet(f"{HELD}/labels.parquet")
+
+
+def test_every_unlabelled_document_is_in_the_pool(spark, given):
+    """The table gives the same rows as plain sorting of all features in one place; copies count once."""
+    docs, labels = given
+    docs = docs.unionByName(docs.where("doc_id % 3 = 0"))
+    model = classifier.fit(docs, labels, rounds=0)
+    features = classifier.feature_table(docs)
+    says = classifier.labels_of(labels)
+    known = {r["doc_id"] for r in says.collect()}
+    free = list({r["key"]: r for r in features.collect() if r["doc_id"] not in known}.values())
+    free.sort(key=lambda r: r["key"])
+    arrays = tuple(classifier._matrix([r[c] for r in free], k) for k, c in enumerate(("x", "m")))
+    taken = [set(), set()]
+    for _ in range(2):
+        places = tuple({i for i, r in enumerate(free) if r["key"] in keys} for keys in taken)
+        plain = classifier.ArrayPool(arrays).surest(model, (40, 200), places)
+        table = classifier.TablePool(features, says.select("doc_id")).surest(model, (40, 200), tuple(taken))
+        assert [[(r[0], free[r[1]]["key"]) for r in view] for view in plain] == [[r[:2] for r in view] for view in table]
+        assert all(table)
+        taken = [{r[1] for r in view[::2]} for view in table]
+
+
+def test_both_views_tell_both_classes_and_the_exchange_does_no_harm(spark, given):
+    docs, labels = given
+    model = classifier.fit(docs, labels, rounds=0)
+    pool = classifier.TablePool(classifier.feature_table(docs), classifier.labels_of(labels).select("doc_id"))
+    for view in pool.surest(model, (50, 50), (set(), set())):
+        assert {r[0] for r in view} == {0, 1}
+    odd, even = labels.where("doc_id % 2 = 1"), labels.where("doc_id % 2 = 0")
+    losses = []
+    for rounds in (0, classifier.ROUNDS):
+        model = classifier.fit(docs, even, rounds=rounds)
+        rows = docs.join(odd, "doc_id").select("text", "source", "lang", "quality").collect()
+        p, y = np.clip(model.scores(classifier._features(rows))[2], 1e-6, 1 - 1e-6), np.array([r["quality"] for r in rows])
+        losses.append(float(-np.mean(np.where(y == 1, np.log(p), np.log(1 - p)))))
+    assert losses[1] <= losses[0] + 0.02
+
+
+def test_scores_are_those_of_each_document_by_itself(spark, given):
+    docs, labels = given
+    model = classifier.fit(docs, labels)
+    got = {r["doc_id"]: (r["content_score"], r["metadata_score"], r["score"]) for r in classifier.with_scores(docs, labels).collect()}
+    for r in docs.collect():
+        assert np.allclose(got[r["doc_id"]], [s[0] for s in model.scores(classifier._features([r]))], atol=1e-6)
+
+
+def test_labels_of_one_class_are_not_given():
+    assert classifier.shares((0, 500), (40, 260)) == (0, 0)
+    assert classifier.shares((20, 500), (40, 260)) == (20, 130)
+    assert classifier.shares((90, 900), (40, 260)) == (40, 260)

@@ -91,7 +91,7 @@ def test_query(spark):
         assert (r["host"], r["path"], r["rule"]) == (host, path, rule) and r["verdict"] == (verdict or ("allow" if r["confidence"] is None else "block"))
 
 
-@pytest.mark.parametrize("url, expected", [(None, {"path="} - {"path="}), ("http://m.a.b.net/x/12/13?k=1&j#f", {"scheme=http", "domain=b.net", "domain=a.b.net", "label=host:m", "path=x", "path=0", "query=k", "query=j", "fragment"})])
+@pytest.mark.parametrize("url, expected", [(None, {"path="} - {"path="}), ("http://m.a.b.net/x/12/13?k=1&j#f", {"scheme=http", "domain=b.net", "domain=a.b.net", "domain=m.a.b.net", "label=host:m", "path=x", "path=0", "query=k", "query=j", "fragment"})])
 def test_tokens(spark, url, expected):
     frame = spark.createDataFrame([(url,)], "url string")
     assert set(frame.select(urls.tokens_of(frame.url)).first()[0]) - {"label=host:"} == expected
@@ -110,6 +110,16 @@ def test_labels_are_those_of_the_document_in_the_path(spark):
     assert all(r["confidence"] == 1.0 for r in rows if r["host"] == "bad.net")
 
 
+def test_one_bad_host_among_very_many_pages(spark):
+    """Support is a number of pages: numbered hosts and long ones are told apart, however few of the pages are theirs."""
+    k = F.col("id")
+    host = F.when(k < 12, "site7.a.pages.net").when(k < 23, "site8.a.pages.net").otherwise(F.concat(F.lit("site"), k % 500 + 10, F.lit(".a.pages.net")))
+    pages = spark.range(20_000).select(k.alias("page_id"), F.concat(F.lit("http://"), host, F.lit("/p"), k % 700, F.lit("/"), k).alias("url"))
+    labels = spark.range(20_000).select(k.alias("doc_id"), (k >= 23).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    rows = urls.judged(pages, labels).where("verdict = 'block'").collect()
+    assert {r["host"] for r in rows} == {"site7.a.pages.net"} and len(rows) == 12
+
+
 @pytest.mark.parametrize("url, doc_id", [(None, None), ("http://a.net/en/12", 12), ("http://a.net/en/12/?q=3", 12), ("http://a.net/3/12.html#4", 12), ("http://a.net/12/x", None), ("http://12", None), ("http://a.net/" + "9" * 30, None)])
 def test_document_of(spark, url, doc_id):
     assert spark.createDataFrame([(url,)], "url string").select(urls.document_of(F.col("url"))).first()[0] == doc_id

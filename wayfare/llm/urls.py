@@ -24,8 +24,8 @@ RULES = (
 )
 BAD = "label=bad"
 GOOD = "label=good"
-#: Least share of the labelled pages that a mined combination must occur in, and least share of bad pages among them.
-MIN_SUPPORT, MIN_CONFIDENCE = 0.005, 0.8
+#: Least number of bad pages that a mined combination must occur in, whatever the size of the corpus, and least share of bad pages among its pages.
+MIN_PAGES, MIN_CONFIDENCE = 12, 0.8
 #: Up to this many mined rules go to every executor; more are joined by a shuffle.
 BROADCAST_RULES = 20_000
 
@@ -58,12 +58,17 @@ def stated(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RULE
 
 
 def tokens_of(url: Column) -> Column:
-    """Distinct tokens: scheme, domains the host belongs to, labels, path segments, query keys; runs of digits are one token."""
+    """Distinct tokens: scheme, host, domains it belongs to, first label, path segments, query keys.
+
+    Runs of digits count as one digit in paths and queries, where they number pages; hosts keep theirs.
+    """
     url = F.coalesce(url, F.lit(""))
     host, path = host_of(url), path_of(url)
 
+    def numbered(parts: Column) -> Column:
+        return F.transform(parts, lambda p: F.regexp_replace(p, "[0-9]+", "0"))
+
     def named(kind: str, parts: Column) -> Column:
-        parts = F.transform(parts, lambda p: F.regexp_replace(p, "[0-9]+", "0"))
         return F.transform(F.filter(parts, lambda p: p != ""), lambda p: F.concat(F.lit(kind), p))
 
     query = F.regexp_extract(url, r"(?s)\?([^#]*)", 1)
@@ -71,21 +76,22 @@ def tokens_of(url: Column) -> Column:
     return F.array_distinct(
         F.concat(
             named("scheme=", F.array(F.regexp_extract(url, "(?s)^(.*?)://", 1))),
-            named("domain=", F.array(F.substring_index(host, ".", -2), F.substring_index(host, ".", -3))),
+            named("domain=", F.array(F.substring_index(host, ".", -2), F.substring_index(host, ".", -3), host)),
             named("label=", F.transform(F.slice(F.split(host, "\\."), 1, 1), lambda p: F.concat(F.lit("host:"), p))),
-            named("path=", F.split(path, "/")),
-            named("query=", keys),
+            named("path=", numbered(F.split(path, "/"))),
+            named("query=", numbered(keys)),
             F.when(F.contains(url, F.lit("#")), F.array(F.lit("fragment"))).otherwise(F.array().cast("array<string>")),
         )
     )
 
 
-def mined_rules(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def mined_rules(pages: DataFrame, labels: DataFrame, min_support: float | None = None, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(key, items, confidence) of the token combinations that go with bad pages.
 
     All pages of labelled documents are transactions (a page is bad if its document has quality 0 or toxic 1; null labels
     say nothing, nor do pages without a document's number in their path). A rule
-    is dropped if a part of its tokens is a rule already. ``key`` is the rarest of its tokens.
+    is dropped if a part of its tokens is a rule already. ``key`` is the rarest of its tokens. A rule takes ``MIN_PAGES`` bad
+    pages, so that one bad host is found in a corpus of any size; ``min_support`` asks for a share of the transactions instead.
     """
     says = labels.select("doc_id", ((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("bad"))
     says = says.where("doc_id is not null").groupBy("doc_id").agg(F.max("bad").alias("bad"))
@@ -93,8 +99,11 @@ def mined_rules(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SU
     transactions = staged(pages.select("url", document_of(F.col("url")).alias("doc_id")).join(says, "doc_id").select(F.array_distinct(items).alias("items")), "transactions")
     schema = "key string, items array<string>, confidence double"
     spark = pages.sparkSession
-    if transactions.isEmpty():
+    n = transactions.count()
+    if not n:
         return spark.createDataFrame([], schema)
+    if min_support is None:
+        min_support = min(1.0, (MIN_PAGES - 0.5) / n)  # FP-growth rounds the number up
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(transactions)
     found = model.associationRules.where(F.col("consequent")[0] == BAD).select(F.array_sort("antecedent").alias("items"), "confidence")
     rules = staged(found.where(~F.array_contains("items", GOOD)), "mined-rules")
@@ -122,7 +131,7 @@ def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return hits.where(F.size(F.array_except("items", "tokens")) == 0).groupBy("tokens").agg(F.max("confidence").alias("confidence"))
 
 
-def judged(pages: DataFrame, labels: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def judged(pages: DataFrame, labels: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, min_support: float | None = None, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(page_id, host, path, rule, verdict, confidence) for every row of ``page_id``, ``url``.
 
     A stated rule that fits decides; else a URL that meets a mined rule is blocked and all others are

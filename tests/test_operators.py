@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from wayfare import operators as O
+from wayfare.plans import quality
 
 
 def test_latest_takes_the_newest_and_breaks_ties_by_the_other_columns(spark, rows):
@@ -123,3 +124,20 @@ def test_a_hot_lookup_key_is_split(spark):
         for key in small:
             spark.conf.unset(key)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def _parts_before_folding(frame):
+    """Whether rows are dealt out in parts of advised size below the first fold per key."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return "REBALANCE_PARTITIONS_BY_COL" in plan.split("partial_count(1)", 1)[1]
+
+
+def test_keys_are_counted_in_parts_of_bounded_size(spark, rows):
+    frame = spark.createDataFrame([(1, None), (1, None), (0, "a"), (0, "a"), (0, "b"), (None, "a"), (None, "a")] + [(7, "hot")] * 50, "k int, s string")
+    for parts in (1, 3):
+        found = O.duplicate_keys(frame.repartition(parts), ["k", "s"])
+        assert {(r.k, r.s): r.copies for r in found.collect()} == {(1, None): 2, (0, "a"): 2, (None, "a"): 2, (7, "hot"): 50}
+    assert _parts_before_folding(O.duplicate_keys(frame, ["k", "s"]))
+    suite = [quality.not_empty("rows"), quality.unique("key", "k", "s")]
+    assert {r.check_name: r.check_value for r in quality.run_suite(frame, suite).collect()} == {"rows": 57, "key": 2}
+    assert _parts_before_folding(quality.run_suite(frame, suite))

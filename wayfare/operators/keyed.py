@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wayfare.operators.rows import dealt_by
+
 UNORDERED = (T.MapType, T.VariantType)
 
 
@@ -31,8 +33,8 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with ``copies``. Counts are combined before the shuffle."""
-    return df.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
+    """Keys that occur more than once, with ``copies``. Counts are combined before the shuffle, in parts of bounded size."""
+    return dealt_by(df, keys).groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
 def left_lookup(df: DataFrame, values: DataFrame, key: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions import count_if, minutes_between
+from wayfare.operators import dealt_by
 
 FRESH_MINUTES = 120
 # The statuses staged orders may have.
@@ -114,9 +115,9 @@ def _passed(check: Check, value: Column) -> Column:
 def run_suite(df: DataFrame, checks: Sequence[Check], as_of: datetime | str | Column | None = None) -> DataFrame:
     """Results of all checks of one table: name, PASS/FAIL, value, threshold, time.
 
-    The table is read once and shuffled once: counts, violations and the newest time are gathered per group of
-    the uniqueness key (combined before the shuffle) and folded into one row. With several uniqueness keys, each row
-    is counted under each of them, and the other checks under the first; see ``_by_every_key``. The time of an empty table is the
+    The table is read once and, if one key is to be unique, dealt out in parts of bounded size (see ``dealt_by``): counts,
+    violations and the newest time are gathered per group of the uniqueness key (combined before the shuffle) and folded into one row. With several uniqueness keys, there
+    is one shuffle: each row is counted under each of them, and the other checks under the first; see ``_by_every_key``. The time of an empty table is the
     epoch, so it is stale.
     """
     now = F.current_timestamp() if as_of is None else (as_of if isinstance(as_of, Column) else F.lit(as_of))
@@ -154,7 +155,8 @@ def run_suite(df: DataFrame, checks: Sequence[Check], as_of: datetime | str | Co
     if len(sets) > 1:
         folded = _by_every_key(df, sets, local).agg(*total.values())
     else:
-        folded = df.groupBy(*(sets[0] if sets else ())).agg(*local).agg(*total.values())
+        rows = dealt_by(df, sets[0]) if sets else df
+        folded = rows.groupBy(*(sets[0] if sets else ())).agg(*local).agg(*total.values())
 
     def result(check: Check, value: Column) -> Column:
         value = value.cast("double")

@@ -1,5 +1,6 @@
 """Loads, ledger, keyed buckets and deltas: nothing lost, nothing twice, also after failures."""
 
+import dataclasses
 import random
 from datetime import datetime, timedelta
 
@@ -294,6 +295,25 @@ def test_order_marts_with_late_and_equal_source_times(spark, tmp_path, rows):
     same(rows, inc.mart("mart_campaign_performance"), marts.mart_campaign_performance(inc.staged("stg_ads_latest"), staged))
 
 
+def test_order_images_are_read_once_a_run_for_all_marts(spark, tmp_path, rows, monkeypatch):
+    inc = increments.Increments(spark, str(tmp_path / "raw"), str(tmp_path / "out"), buckets=2)
+    read, kept = [], increments.STAGED["stg_orders"]
+
+    def counted(versions):
+        read.append(versions)
+        return kept.rows(versions)
+
+    new = [(1, "c", "paid", 5, 1, 1, 0), (2, "c", "created", 7, 1, 1, 0), (3, "u", "paid", 9, 2, 1, 0)]
+    loads.write_load(changes_of(spark, new), f"{inc.raw}/raw_cdc_orders", "load-1", "2024-01-01")
+    monkeypatch.setitem(increments.STAGED, "stg_orders", dataclasses.replace(kept, rows=counted))
+    run = inc.take_in("raw_cdc_orders")
+    monkeypatch.undo()
+    assert len(read) <= 3  # both sides of the changes and the schema, whatever the number of marts
+    typed = spark.read.parquet(f"{inc.table('stg_orders').run_folder(run)}/typed")
+    assert rows(typed.select("after.status", "after.price", "before")) == [("created", 7.0, None), ("paid", 5.0, None), ("paid", 9.0, None)]
+    same(rows, inc.mart("mart_orders_status"), marts.mart_orders_status(staging.stg_orders(changes_of(spark, new))))
+
+
 def test_funnel_users_leave_with_their_last_event(spark, tmp_path, rows):
     inc = increments.Increments(spark, str(tmp_path / "raw"), str(tmp_path / "out"), buckets=4)
     pick, every = random.Random(2), []

@@ -8,7 +8,8 @@ large, very fine) is kept with the number of times it is there.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,6 +64,13 @@ MARTS = {
 }
 
 
+def columns_read(staging: str, columns: Sequence[str]) -> list[str]:
+    """Those columns of a staging table that the SQL of its marts names."""
+    texts = [sql for m in MARTS.values() if m.staging == staging for sql in (*m.keys.values(), m.where, *m.counts.values(), m.amount)]
+    named = set(re.findall(r"\w+", " ".join(texts)))
+    return [c for c in columns if c in named]
+
+
 def signed(changes: DataFrame) -> DataFrame:
     """Changes (``before``, ``after``) as staging rows with ``_sign``: -1 for what goes, 1 for what comes."""
     rows = F.array(F.struct(F.lit(-1).alias("_sign"), F.col("before").alias("row")), F.struct(F.lit(1).alias("_sign"), F.col("after").alias("row")))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfare.plans import deltas, marts, staging
+from wayfare.sinks import files
 from wayfare.sinks.keyed import KeyedTable
 from wayfare.sinks.ledger import Ledger
 from wayfare.sinks.loads import published_loads, read_loads
@@ -23,6 +24,10 @@ from wayfare.sources import schemas
 ORDER_VERSION = "order_key long, after_record string, source_ts_ms long, ingested_at timestamp"
 
 
+def as_kept(kept: DataFrame) -> DataFrame:
+    return kept
+
+
 @dataclass(frozen=True)
 class Staged:
     """How a staging table is kept: its rows or what they are read off, by key and version."""
@@ -30,7 +35,7 @@ class Staged:
     schema: str
     keys: tuple[str, ...]
     version: tuple[str, ...]
-    rows: Callable[[DataFrame], DataFrame] = lambda kept: kept
+    rows: Callable[[DataFrame], DataFrame] = as_kept
 
 
 STAGED = {
@@ -74,18 +79,32 @@ class Increments:
             return None
         name, versions = FEEDS[raw]
         changes = self.table(name).upsert(versions(self.new_rows(raw, run.loads)), run.name)
-        rows = STAGED[name].rows
-        for mart, spec in deltas.MARTS.items():
-            if spec.staging == name:
-                self.deltas(mart).write(self._typed(changes, rows), run.name)
+        fed = [mart for mart, spec in deltas.MARTS.items() if spec.staging == name]
+        typed = self._typed_changes(name, changes, run.name) if fed else changes
+        for mart in fed:
+            self.deltas(mart).write(typed, run.name)
         self.ledger(raw).close(run)
         return run.name
 
-    def _typed(self, changes: DataFrame, rows: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Changes of what is kept as changes of staging rows."""
+    def _typed_changes(self, name: str, changes: DataFrame, run: str) -> DataFrame:
+        """A run's changes as changes of staging rows, with what the marts read of them.
+
+        If rows are read off what is kept, this is done once and written, not once for each mart.
+        """
+        used = deltas.columns_read(name, [f.name for f in self.staged(name).schema])
+        typed = self._typed(changes, STAGED[name].rows, used)
+        if STAGED[name].rows is as_kept:
+            return typed
+        folder = f"{self.table(name).run_folder(run)}/typed"
+        if not files.is_complete(self.spark, folder):
+            typed.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(typed.schema).parquet(folder)
+
+    def _typed(self, changes: DataFrame, rows: Callable[[DataFrame], DataFrame], used: list[str]) -> DataFrame:
+        """Changes of what is kept as changes of some columns of staging rows."""
 
         def side(name: str, other: str) -> DataFrame:
-            found = rows(changes.where(F.col(name).isNotNull()).select(f"{name}.*"))
+            found = rows(changes.where(F.col(name).isNotNull()).select(f"{name}.*")).select(*used)
             empty = F.lit(None).cast(found.schema)
             return found.select(F.struct(*found.columns).alias(name), empty.alias(other)).select("before", "after")
 

@@ -252,3 +252,21 @@ def test_counters_tell_failed_dead_letters(spark, tmp_path):
     run_events(spark, places, write=no_dlq)
     row = read_batches(spark, places.metrics).select("query", "received", "processed", "failed", "dlq").head()
     assert tuple(row) == ("user_events", 2, 1, 1, 1)
+
+
+def test_booking_lines_are_parsed_once_for_all_tables_of_a_load(spark, tmp_path, rows):
+    given = ['{"booking_id":1,"price":2.5,"created_at":"2024-01-01 00:00:00"}', '{"booking_id":2,"created_at":"never"}', "torn", '{"booking_id":3', " ", '{"booking_id":4,"price":1}']
+    spark.createDataFrame([(v,) for v in given], "value string").coalesce(1).write.text(str(tmp_path / "in"))
+    parsed = []
+
+    def prepare(lines, load_id, at):
+        parsed.append("_record" in lines.columns and lines.is_cached)
+        return landing.booking_loads(lines, load_id, at)
+
+    prepare.opened = landing.booking_loads.opened
+    landing.start_landing(spark, str(tmp_path / "in"), str(tmp_path / "raw"), prepare, str(tmp_path / "c"), at=T0, trigger=ONCE).awaitTermination()
+    assert parsed == [True]
+    letters = spark.read.parquet(str(tmp_path / "raw" / "dlq_bookings")).select("booking_id", "error_reason")
+    assert rows(letters) == rows(spark.createDataFrame([(2, "created_at is not a time"), (None, "not a JSON object"), (None, "not a JSON object")], letters.schema))
+    taken = spark.read.parquet(str(tmp_path / "raw" / "raw_bookings"))
+    assert sorted((r.booking_id, r.price, r.created_at) for r in taken.collect()) == [(1, 2.5, datetime(2024, 1, 1)), (4, 1.0, None)]

@@ -31,7 +31,8 @@ def ingest_bookings(records: DataFrame, run_id: str | Column, loaded_at: datetim
     Records whose creation text is no time are left out: see ``unreadable_bookings``.
     """
     run = run_id if isinstance(run_id, Column) else F.lit(run_id)
-    return records.where(F.col("created_at").isNull() | _created(F.col("created_at")).isNotNull()).select(
+    timed = settle(records, _created=_created(F.col("created_at")))
+    return timed.where(F.col("created_at").isNull() | F.col("_created").isNotNull()).select(
         "booking_id",
         "user_id",
         "route",
@@ -39,7 +40,7 @@ def ingest_bookings(records: DataFrame, run_id: str | Column, loaded_at: datetim
         "status",
         "price",
         "currency",
-        _created(F.col("created_at")).alias("created_at"),
+        F.col("_created").alias("created_at"),
         instant(loaded_at).alias("loaded_at"),
         run.alias("run_id"),
     )

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wayfare.functions.lenient import settle
 from wayfare.plans.validation import check_ads, refused
 from wayfare.sinks.loads import write_load
 from wayfare.sources.ingest import BOOKING_RECORD, archive_payload, ingest_ads, ingest_bookings, unreadable_bookings
@@ -24,16 +25,27 @@ from wayfare.streaming.batches import start, with_backoff
 Prepare = Callable[[DataFrame, str, datetime], dict[str, DataFrame]]
 
 
+def open_bookings(lines: DataFrame) -> DataFrame:
+    """Lines with ``_readable`` and, if they are JSON objects, the booking record ``_record``; each is parsed once."""
+    readable = F.col("value").rlike(r"^\s*\{") & F.try_parse_json("value").isNotNull()
+    marked = settle(lines, _readable=readable)
+    return settle(marked, _record=F.when(F.col("_readable"), F.from_json("value", BOOKING_RECORD)))
+
+
 def booking_loads(lines: DataFrame, load_id: str, at: datetime) -> dict[str, DataFrame]:
     """Booking records, one JSON object a line; the load is their run. Other lines and unreadable creation times go to the dead letters."""
-    readable = F.col("value").rlike(r"^\s*\{") & F.try_parse_json("value").isNotNull()
-    records = lines.where(readable).select(F.from_json("value", BOOKING_RECORD).alias("r")).select("r.*")
-    torn = lines.where(~readable).select(
+    opened = lines if "_record" in lines.columns else open_bookings(lines)
+    records = opened.where("_readable").select("_record.*")
+    torn = opened.where("not _readable").select(
         F.lit(None).cast("long").alias("booking_id"), F.col("value").alias("raw_record"), F.lit("not a JSON object").alias("error_reason"), F.lit(at).cast("timestamp").alias("failed_at")
     )
     return {"raw_bookings": ingest_bookings(records, load_id, at), "dlq_bookings": unreadable_bookings(records, at).unionByName(torn)}
 
 
+#: What is kept of the lines of a load while its tables are filed: they are parsed once for all of them.
+booking_loads.opened = open_bookings
+
+
 def ad_loads(platform: str) -> Prepare:
     """Answers of the advertising interface, a JSON array or object a line: archived as they came, and their valid records."""
 
@@ -65,7 +77,7 @@ def start_landing(
     """Start the query that takes new files below ``landing`` into loads of the raw tables below ``raw``.
 
     With the trigger ``availableNow`` it reads what is there and ends. A repeated batch has the same load id: a table that it has
-    filed already keeps it as it is. ``at`` is the time of arrival, by default that of the batch.
+    filed already keeps it as it is. If ``prepare`` has a function ``opened``, the lines are kept as it returns them. ``at`` is the time of arrival, by default that of the batch.
     """
     reader = spark.readStream.format("text")
     if archive is not None:
@@ -73,9 +85,11 @@ def start_landing(
     if files_per_load is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_load)
 
+    opened = getattr(prepare, "opened", lambda lines: lines)
+
     def handle(batch: DataFrame, load_id: str) -> None:
         arrived = at or datetime.now().replace(microsecond=0)
-        lines = batch.select("value").where("trim(value) <> ''").persist()
+        lines = opened(batch.select("value").where("trim(value) <> ''")).persist()
         try:
             for name, rows in prepare(lines, load_id, arrived).items():
                 keys = SORT_KEYS.get(name, ())

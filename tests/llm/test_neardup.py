@@ -2,6 +2,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from helpers import ODD, SMALL, documents, prose
 from pyspark.sql import functions as F
 
@@ -117,3 +118,14 @@ def test_state_of_many_edges_does_not_overflow(spark):
     state = _state(edges)
     assert state[0] == 17_600_000 and state == _state(edges.repartition(3))
     assert state != _state(edges.withColumn("v", F.when(F.col("v") == 5, 4).otherwise(F.col("v"))))
+
+
+def test_a_worker_holds_little_text_and_few_words_at_once():
+    texts = [" ".join(f"w{k}x{n}" for n in range(6000)) for k in range(30)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    held, found = [], 0
+    for out in neardup._sketch_batches(5, 4, 2)(iter([batch])):
+        held.append(sum(len(texts[n]) for n in out.column("doc_id").to_pylist()))
+        found += out.num_rows
+        assert len(neardup.HASHES) <= 100_000
+    assert found == 30 and max(held) < 600_000 and not neardup.HASHES

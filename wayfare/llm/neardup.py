@@ -30,6 +30,8 @@ from wayfare.llm.common import TABLES, free_names, may_be_in, mix64, parted, rel
 from wayfare.llm.components import components
 
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: What a Python worker holds at once: bytes of text, and words whose hashes it remembers. Two workers share an executor with the JVM.
+BATCH, WORDS = 500_000, 100_000
 
 
 class WordHashes(dict):
@@ -37,7 +39,7 @@ class WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 400_000:
+        if len(self) < WORDS:
             self[word] = value
         return value
 
@@ -104,7 +106,7 @@ def _sketch_batches(size: int, bands: int, rows: int):
 
     @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", 2_000_000):
+        for batch in small_batches(batches, "text", BATCH):
             words = [words_in(t) for t in batch.column("text").to_pylist()]
             sets = [shingles(w, size) for w in words]
             keys = band_keys(sketch(sets, bands * rows), rows)
@@ -121,7 +123,7 @@ def _linked(percent: int, size: int):
     @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_set = None, None
-        for batch in small_batches(batches, "text_b", 2_000_000):
+        for batch in small_batches(batches, "text_b", BATCH):
             keep = []
             for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))):
                 if a != last:
@@ -147,7 +149,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> Dat
 def _token_batches(size: int):
     @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", 2_000_000):
+        for batch in small_batches(batches, "text", BATCH):
             sets = [shingles(words_in(t), size).view(np.int64) for t in batch.column("text").to_pylist()]
             ends = np.cumsum([0, *(len(s) for s in sets)])
             tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*sets, np.empty(0, np.int64)])))
